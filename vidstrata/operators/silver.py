@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vidstrata import schemas
 from vidstrata.operators.keys import spread_join
@@ -12,7 +11,7 @@ SORT_KEY = ("channel_id", "video_id")
 
 
 def prefixed(df: DataFrame, prefix: str, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.col(name).alias(f"{prefix}_{name}") for name in columns])
+    return df.selectExpr(*[f"`{name}` AS `{prefix}_{name}`" for name in columns])
 
 
 def silver_events(videos: DataFrame, channels: DataFrame, **spread) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidstrata import schemas
@@ -14,56 +14,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CHANNEL_COLUMNS = {
+    "id": "c_custkey + 1",
+    "username": "c_name",
+    "total_video_visit": "CAST(floor(abs(c_acctbal)) AS BIGINT) * 100",
+    "video_count": "c_custkey % 50",
+    "start_date_timestamp": "1577836800 + (c_custkey % 1500) * 86400",
+    "followers_count": "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN 0 "
+    "ELSE CAST(floor(abs(c_acctbal)) AS BIGINT) END",
+    "country": "n_name",
+    "created_at": "CAST(make_date(2025, CAST(1 + c_custkey % 6 AS INT), "
+    "CAST(1 + c_custkey % 28 AS INT)) AS TIMESTAMP)",
+    "update_count": "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_custkey % 5 END",
+}
+
+VIDEO_COLUMNS = {
+    "id": "CAST(o_orderkey AS STRING)",
+    "owner_username": "CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE c_name END",
+    "owner_id": "CAST(o_custkey AS STRING)",
+    "title": "concat('title ', o_orderkey)",
+    "tags": "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN '' "
+    "WHEN o_orderkey % 29 = 0 THEN concat(o_orderpriority, ',', o_orderpriority, ',') "
+    "ELSE concat(o_orderpriority, ',', o_orderstatus) END",
+    "uid": "concat('u', o_orderkey)",
+    "visit_count": "CASE WHEN o_orderkey % 31 = 0 THEN 0 "
+    "ELSE CAST(floor(o_totalprice) AS BIGINT) END",
+    "owner_name": "c_name",
+    "duration": "o_orderkey % 3600",
+    "comments": "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 12 END",
+    "like_count": "CASE WHEN o_orderkey % 9 = 0 THEN NULL "
+    "ELSE CAST(floor(o_totalprice / 37) AS BIGINT) END",
+    "is_deleted": "o_orderkey % 41 = 0",
+    "created_at": "CAST(o_orderdate AS TIMESTAMP)",
+    "expire_at": "TIMESTAMP '1970-01-01 00:00:00'",
+    "update_count": "o_orderkey % 4",
+}
+
+
+def _built(rows: DataFrame, columns: dict[str, str], types: dict[str, str]) -> DataFrame:
+    return rows.selectExpr(
+        *[f"CAST({form} AS {types[name]}) AS {name}" for name, form in columns.items()]
+    )
+
+
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation has 25 rows at every scale
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     rows = table(spark, sf_dir, "customer").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    key = F.col("c_custkey")
-    balance = F.floor(F.abs("c_acctbal")).cast("bigint")
-    created = F.make_date(F.lit(2025), (1 + key % 6).cast("int"), (1 + key % 28).cast("int"))
-    columns = {
-        "id": key + 1,
-        "username": F.col("c_name"),
-        "total_video_visit": balance * 100,
-        "video_count": key % 50,
-        "start_date_timestamp": 1577836800 + (key % 1500) * 86400,
-        "followers_count": F.when(key % 7 == 0, None).when(key % 11 == 0, 0).otherwise(balance),
-        "country": F.col("n_name"),
-        "created_at": created.cast("timestamp"),
-        "update_count": F.when(key % 13 == 0, None).otherwise(key % 5),
-    }
-    return schemas.conform(
-        rows.select(*[value.alias(name) for name, value in columns.items()]), schemas.CHANNELS
-    )
-
-
-def video_columns() -> dict[str, Column]:
-    key, name = F.col("o_orderkey"), F.col("c_name")
-    priority = F.col("o_orderpriority")
-    return {
-        "id": key.cast("string"),
-        "owner_username": F.when(key % 17 == 0, "").otherwise(name),
-        "owner_id": F.col("o_custkey").cast("string"),
-        "title": F.concat(F.lit("title "), key.cast("string")),
-        "tags": F.when(key % 19 == 0, None)
-        .when(key % 23 == 0, "")
-        .when(key % 29 == 0, F.concat(priority, F.lit(","), priority, F.lit(",")))
-        .otherwise(F.concat(priority, F.lit(","), F.col("o_orderstatus"))),
-        "uid": F.concat(F.lit("u"), key.cast("string")),
-        "visit_count": F.when(key % 31 == 0, 0).otherwise(F.floor("o_totalprice").cast("bigint")),
-        "owner_name": name,
-        "duration": (key % 3600).cast("int"),
-        "comments": F.when(key % 5 == 0, None).otherwise(key % 12).cast("int"),
-        "like_count": F.when(key % 9 == 0, None).otherwise(
-            F.floor(F.col("o_totalprice") / 37).cast("bigint")
-        ),
-        "is_deleted": key % 41 == 0,
-        "created_at": F.col("o_orderdate").cast("timestamp"),
-        "expire_at": F.lit("1970-01-01 00:00:00").cast("timestamp"),
-        "update_count": (key % 4).cast("int"),
-    }
+    return _built(rows, CHANNEL_COLUMNS, schemas.CHANNELS)
 
 
 def video_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,11 +74,7 @@ def video_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = video_source(spark, sf_dir)
-    return schemas.conform(
-        rows.select(*[value.alias(name) for name, value in video_columns().items()]),
-        schemas.BRONZE_VIDEOS,
-    )
+    return _built(video_source(spark, sf_dir), VIDEO_COLUMNS, schemas.BRONZE_VIDEOS)
 
 
 def silver(spark: SparkSession, sf_dir: str, **spread) -> DataFrame:

@@ -33,6 +33,7 @@ class Run:
     until: dt.datetime | None = None
     created_since: dt.datetime | None = None
     dialect: str = "daily"
+    json_suffix: str = ".json"
 
     @property
     def batch(self) -> str:
@@ -171,7 +172,9 @@ def run(spark: SparkSession, root: str, run: Run, attempts: int = 2) -> DataFram
 
     try:
         if run.json_root:
-            lines = json_lines.read_lines(spark, run.json_root, run.since, run.until)
+            lines = json_lines.read_lines(
+                spark, run.json_root, run.since, run.until, run.json_suffix
+            )
             audit.stage(
                 "documents",
                 lambda: append_documents(tables, lines, run.batch, run.dialect),

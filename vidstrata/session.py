@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Repeated keys in a JSON document: the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Noting the call site of every Column costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024

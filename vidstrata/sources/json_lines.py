@@ -20,10 +20,14 @@ def with_origin(lines: DataFrame) -> DataFrame:
         "value",
         files.origin_path().alias("source_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_seq"),
     )
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their running number; grows with the line number inside one split."""
+    return lines.withColumn("line_seq", F.monotonically_increasing_id())
+
+
 def read_lines(
     spark: SparkSession, root: str, since=None, until=None, suffix: str = ".json"
 ) -> DataFrame:
@@ -42,7 +46,7 @@ def read_lines(
     if since is not None:
         modified = F.col("_metadata.file_modification_time")
         lines = lines.where(files.modified_between(modified, since, until))
-    return with_origin(lines)
+    return numbered(with_origin(lines))
 
 
 def write_lines(documents: DataFrame, path: str) -> None:

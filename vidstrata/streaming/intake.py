@@ -28,7 +28,7 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
 def new_lines(
     spark: SparkSession, root: str, suffix: str = ".json", files_per_batch: int = 10_000
 ) -> DataFrame:
-    """Lines of files not processed before, with their origin."""
+    """Lines of files not processed before, with their origin; number them per batch."""
     lines = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", True)
@@ -43,6 +43,6 @@ def copy_lines(spark: SparkSession, root: str, target: str, checkpoint: str, suf
     """Write each new file's lines once, one folder per batch."""
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        json_lines.numbered(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return run_available(new_lines(spark, root, suffix), store, checkpoint)
