@@ -20,10 +20,12 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Repeated keys in a JSON document: the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Noting the call site of every Column costs more than planning the query.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Can only be set when the session is made. Noting the call site of every Column costs the driver
+# more than planning the query.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
 
 
@@ -49,7 +51,7 @@ def build_session(app: str = "vidstrata", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
