@@ -134,9 +134,10 @@ def bulk_load_channels(tables: Tables, path: str, strict: bool = True) -> Counts
         )
         rejected = tables.append("rejects", rejects, "bulk-channels")
         rows = first_by_key(good, ["username"], list(channel_csv.ROW_ORDER)).select(rows.columns)
-    tables.replace({"channels": number_rows(rows, "username", 0)})
-    return Counts(rows_in=raw.count(), rows_out=tables.read("channels").count(),
-                  rows_rejected=rejected)
+    loaded = tables.replace({"channels": number_rows(rows, "username", 0)})
+    return Counts(
+        rows_in=raw.count(), rows_out=loaded["channels"], rows_rejected=rejected
+    )
 
 
 def copy_channels(tables: Tables, mode: str = "keyset") -> Counts:
@@ -148,8 +149,8 @@ def copy_channels(tables: Tables, mode: str = "keyset") -> Counts:
     """
     channels = tables.read("channels")
     if mode == "full":
-        tables.replace({"bronze_channels": channels}, watermark_of="id")
-        return Counts(rows_out=channels.count())
+        rows = tables.replace({"bronze_channels": channels}, watermark_of="id")
+        return Counts(rows_out=rows["bronze_channels"])
     last = int(tables.watermark("bronze_channels") or 0)
     new = increments.after_key(channels, last)
     return Counts(
@@ -163,12 +164,7 @@ def run(spark: SparkSession, root: str, run: Run, attempts: int = 2) -> DataFram
     audit = Audit(spark, run.batch)
 
     def events() -> Counts:
-        before = tables.read("silver_events").count()
-        silver_view.refresh(tables, files.utc(run.as_of).date())
-        return Counts(
-            rows_in=tables.read("bronze_videos").count(),
-            rows_out=tables.read("silver_events").count() - before,
-        )
+        return Counts(rows_out=silver_view.refresh(tables, files.utc(run.as_of).date()))
 
     try:
         if run.json_root:

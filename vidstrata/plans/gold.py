@@ -22,8 +22,10 @@ def refresh_append(tables: Tables, new_events: DataFrame, batch: str, as_of=None
     Feeding the same rows again under another batch name would count them twice; under the same
     name it changes nothing.
     """
-    for name, report in REPORTS.items():
-        tables.append(f"gold_{name}", report.partial(new_events, as_of), batch)
+    tables.append_all(
+        {f"gold_{name}": report.partial(new_events, as_of) for name, report in REPORTS.items()},
+        batch,
+    )
 
 
 def compact(tables: Tables, names: tuple[str, ...] = tuple(REPORTS)) -> None:

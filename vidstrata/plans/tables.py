@@ -14,7 +14,9 @@ Watermarks travel in the commit rows, so they can not run ahead of the data.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,21 +89,34 @@ class Tables:
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def version(self, name: str) -> int:
-        row = self.commits().where(F.col("table") == name).agg(F.max("version")).first()
-        return row[0] or 0
+        return self._standing([name])[name][0]
 
     def last_batch(self, name: str) -> str | None:
         rows = self.commits().where(F.col("table") == name)
         return rows.agg(F.max_by("batch", "committed_at")).first()[0]
 
-    def _version_and_done(self, name: str, batch: str) -> tuple[int, bool]:
-        """Current version, and whether it holds the batch already."""
-        rows = self.commits().where(F.col("table") == name)
-        newest = rows.agg(
-            F.max("version"), F.max(F.when(F.col("batch") == batch, F.col("version")))
+    def _standing(self, names: list[str], batch: str | None = None) -> dict[str, tuple[int, bool]]:
+        """Per table its version, and whether that version holds the batch already."""
+        rows = self.commits().where(F.col("table").isin(names)).groupBy("table").agg(
+            F.max("version").alias("version"),
+            F.max(F.when(F.col("batch") == F.lit(batch), F.col("version"))).alias("holds"),
         )
-        version, with_batch = newest.first()
-        return version or 0, with_batch is not None and with_batch == version
+        found = {row["table"]: row for row in rows.collect()}
+        return {
+            name: (found[name]["version"], found[name]["holds"] == found[name]["version"])
+            if name in found
+            else (0, False)
+            for name in names
+        }
+
+    def note(self, name: str, batch: str) -> None:
+        """A commit row without data, for jobs that must know how far an earlier run came."""
+        self._commit([(name, self.version(name), batch, None)])
+
+    def _commit(self, rows: list[tuple]) -> None:
+        now = dt.datetime.now(dt.timezone.utc)
+        df = self.spark.createDataFrame([(*row, now) for row in rows], COMMITS)
+        df.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def watermark(self, name: str) -> str | None:
         rows = self.commits().where((F.col("table") == name) & F.col("watermark").isNotNull())
@@ -146,45 +161,65 @@ class Tables:
 
     # --- writing -------------------------------------------------------------------------------
 
-    def _write(self, name: str, df: DataFrame, version: int, batch: str) -> str:
+    def _write(self, name: str, df: DataFrame, version: int, batch: str, watermark_of: str | None):
+        """Write one batch folder; returns its row count and watermark.
+
+        Both are read back from the written files: counters kept while a job runs may count a task
+        twice when its executor is lost.
+        """
         path = f"{self.path(name, version)}/batch={batch}"
-        df = schemas.conform(df, schemas.TABLES[name])
-        write_sorted(df, path, SORT_KEYS.get(name, ()), MONTH_OF.get(name))
-        return path
+        columns = schemas.TABLES[name]
+        write_sorted(
+            schemas.conform(df, columns), path, SORT_KEYS.get(name, ()), MONTH_OF.get(name)
+        )
+        written = self.spark.read.schema(schemas.ddl(columns)).parquet(path)
+        top = F.max(watermark_of).cast("string") if watermark_of else F.lit(None).cast("string")
+        return tuple(written.agg(F.count(F.lit(1)), top).first())
+
+    def _write_all(self, new: dict[str, DataFrame], versions: dict[str, int], batch, watermark_of):
+        """Independent tables are written side by side, so small ones do not leave executors idle."""
+
+        def write(name: str):
+            return self._write(name, new[name], versions[name], batch, watermark_of)
+
+        if len(new) == 1:
+            return {name: write(name) for name in new}
+        with ThreadPoolExecutor(len(new)) as pool:
+            target = inheritable_thread_target(self.spark)(write)
+            return dict(zip(new, pool.map(target, new)))
+
+    def append_all(
+        self, new: dict[str, DataFrame], batch: str, watermark_of: str | None = None
+    ) -> dict[str, int]:
+        """Store one batch of each table and return the row counts.
+
+        A batch that is there already is skipped; 0 rows leave no commit and no watermark.
+        """
+        standing = self._standing(list(new), batch)
+        todo = {name: df for name, df in new.items() if not standing[name][1]}
+        versions = {name: standing[name][0] for name in todo}
+        written = self._write_all(todo, versions, batch, watermark_of) if todo else {}
+        commits = [
+            (name, versions[name], batch, mark) for name, (rows, mark) in written.items() if rows
+        ]
+        if commits:
+            self._commit(commits)
+        return {name: written[name][0] if name in written else 0 for name in new}
 
     def append(
         self, name: str, df: DataFrame, batch: str, watermark_of: str | None = None
     ) -> int:
-        """Store one batch and return its row count; 0 rows leave no commit and no watermark.
-
-        Count and watermark are read back from the written files: counters kept while the job runs
-        may count a task twice when its executor is lost.
-        """
-        version, done = self._version_and_done(name, batch)
-        if done:
-            return 0
-        path = self._write(name, df, version, batch)
-        rows, mark = self._stats(name, path, watermark_of)
-        if rows:
-            self._commit([(name, version, batch, mark)])
-        return rows
+        return self.append_all({name: df}, batch, watermark_of)[name]
 
     def replace(
         self, new: dict[str, DataFrame], batch: str = "base", watermark_of: str | None = None
-    ) -> None:
+    ) -> dict[str, int]:
         """New complete versions of the given tables, visible together."""
-        rows = []
-        for name, df in new.items():
-            version = self.version(name) + 1
-            path = self._write(name, df, version, batch)
-            mark = self._stats(name, path, watermark_of)[1] if watermark_of else None
-            rows.append((name, version, batch, mark))
-        self._commit(rows)
-
-    def _stats(self, name: str, path: str, watermark_of: str | None) -> tuple[int, str | None]:
-        written = self.spark.read.schema(schemas.ddl(schemas.TABLES[name])).parquet(path)
-        top = F.max(watermark_of) if watermark_of else F.lit(None)
-        return tuple(written.agg(F.count(F.lit(1)), top.cast("string")).first())
+        standing = self._standing(list(new))
+        versions = {name: standing[name][0] + 1 for name in new}
+        written = self._write_all(new, versions, batch, watermark_of)
+        self._commit([(name, versions[name], batch, mark) for name, (_, mark) in written.items()])
+        return {name: rows for name, (rows, _) in written.items()}
 
     # --- catalog -------------------------------------------------------------------------------
 

@@ -20,29 +20,32 @@ REBUILDING = "rebuilding"
 
 def refresh(
     tables: Tables, as_of=None, with_gold: bool = True, files_per_batch: int = 10_000
-) -> None:
+) -> int:
     """Join the new bronze videos into silver and, unless told not to, add them to gold.
 
     The channels are read again for every batch. A batch that is repeated after a crash keeps its
     number, and so its folder, and changes nothing. Bronze replaced as a whole, or a rebuild that
-    was cut off, leads to a rebuild.
+    was cut off, leads to a rebuild. Returns the number of rows added.
     """
     source = tables.version("bronze_videos")
     last = tables.last_batch("silver_events")
     if last is not None and _source_of(last) != source:
-        rebuild(tables, as_of, with_gold)
-        return
+        return rebuild(tables, as_of, with_gold)
+    added = 0
 
     def add(batch: DataFrame, number: int) -> None:
+        nonlocal added
         name = f"s{source}-{number:08d}"
-        tables.append("silver_events", silver_events(batch, tables.read("bronze_channels")), name)
+        events = silver_events(batch, tables.read("bronze_channels"))
+        added += tables.append("silver_events", events, name)
         if with_gold:
             gold.refresh_append(tables, tables.read_batch("silver_events", name), name, as_of)
 
     _run(tables, source, add, files_per_batch)
+    return added
 
 
-def rebuild(tables: Tables, as_of=None, with_gold: bool = True) -> None:
+def rebuild(tables: Tables, as_of=None, with_gold: bool = True) -> int:
     """Silver and gold anew from all of bronze: late channels get their earlier videos.
 
     The stream is moved past the videos present first, so that no later refresh adds them again.
@@ -52,9 +55,11 @@ def rebuild(tables: Tables, as_of=None, with_gold: bool = True) -> None:
     tables.note("silver_events", REBUILDING)
     _run(tables, source, lambda batch, number: None, files_per_batch=1_000_000)
     videos, channels = tables.read("bronze_videos"), tables.read("bronze_channels")
-    tables.replace({"silver_events": silver_events(videos, channels)}, f"s{source}-rebuilt")
+    batch = f"s{source}-rebuilt"
+    rows = tables.replace({"silver_events": silver_events(videos, channels)}, batch)
     if with_gold:
-        gold.refresh_full(tables, as_of, f"s{source}-rebuilt")
+        gold.refresh_full(tables, as_of, batch)
+    return rows["silver_events"]
 
 
 def _source_of(batch: str) -> int | None:
