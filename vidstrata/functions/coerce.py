@@ -13,6 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 END = "end of line"
+# What separates comments, and digits as text may hold them.
+SEPARATOR = " - "
+QUOTED_DIGITS = r'^"\s*[+-]?\d+\s*"$'
 OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
@@ -53,13 +56,17 @@ def number_of(json: Column, unwrap: bool = False) -> Column:
     ``$numberInt``, ``$numberLong`` and ``$date`` objects too.
     """
     scientific = json.contains("e") | json.contains("E")
-    fraction = F.when(scientific, json.try_cast("double").try_cast("bigint")).otherwise(
-        F.substring_index(json, ".", 1).try_cast("bigint")
-    )
-    # numbers are the only JSON values that start with a character from - to 9
+    # Text is matched before it is cast: a cast that fails costs an exception, even in try_cast.
+    digits = F.trim(F.btrim(json, F.lit('"')))
     number = (
-        F.when((json >= "-") & (json < ":"), F.coalesce(json.try_cast("bigint"), fraction))
-        .when(json.startswith('"'), plain_text(json).try_cast("bigint"))
+        # numbers are the only JSON values that start with a character from - to 9
+        F.when(
+            (json >= "-") & (json < ":"),
+            F.when(scientific, json.try_cast("double").try_cast("bigint")).otherwise(
+                F.substring_index(json, ".", 1).try_cast("bigint")
+            ),
+        )
+        .when(json.rlike(QUOTED_DIGITS), digits.try_cast("bigint"))
         .when(json == "true", F.lit(1).cast("bigint"))
         .when(json == "false", F.lit(0).cast("bigint"))
     )
@@ -74,15 +81,16 @@ def number_of(json: Column, unwrap: bool = False) -> Column:
 
 
 class Loose:
-    """Column expressions over one field: its JSON text, plain text and number.
+    """Column expressions over one field's JSON text.
 
-    A NULL number means: refuse the document.
+    Each rule names the plain text or number once, so that a row computes it once. A NULL number
+    means: refuse the document.
     """
 
-    def __init__(self, json: Column, text: Column, number: Column):
+    def __init__(self, json: Column, unwrap: bool = False):
         self.json = json
-        self.text = text
-        self.number = number
+        self.text = plain_text(json)
+        self.number = number_of(json, unwrap)
         self.absent = json.isNull()
         self.null = F.coalesce(json == "null", F.lit(False))
         self.is_text = F.coalesce(json.startswith('"'), F.lit(False))
@@ -99,7 +107,7 @@ class Loose:
         return (
             F.when(self.absent, F.lit(default))
             .when(self.null, F.lit("None"))
-            .when(self.is_bool, F.initcap(self.text))
+            .when(self.is_bool, F.initcap(self.json))
             .otherwise(self.text)
         )
 
@@ -122,13 +130,18 @@ class Loose:
         """0 when empty; any other text is refused, digits too."""
         return F.when(self.empty, F.lit(0).cast("bigint")).when(~self.is_text, self.number)
 
+    def parts(self) -> Column:
+        """Number of parts of a text, 0 for empty text and null; NULL for any other value."""
+        none = self.absent | self.null | (self.json == '""')
+        return F.when(none, F.lit(0)).when(self.is_text, F.size(F.split(self.text, SEPARATOR)))
+
 
 def json_empty(json: Column) -> Column:
     # fixed values: JSON forms that count as false
     return json.isin("null", "false", '""', "[]", "{}", "0", "-0", "0.0", "-0.0")
 
 
-def part_count(text: Column, separator: str = " - ") -> Column:
+def part_count(text: Column, separator: str = SEPARATOR) -> Column:
     """Number of separated parts; 0 for NULL and for empty text."""
     return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(
         F.size(F.split(text, separator))

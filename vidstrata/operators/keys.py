@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # side (times its rows per key). Both bounds are independent of the data's size.
 HOT_SHARE = 2000
 HOT_MIN_ROWS = 100_000
+SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -57,6 +58,19 @@ def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
+def spread_small(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df`` over all cores when its source is too small to come in enough splits.
+
+    For row-wise work that costs far more than a shuffle of its input. A large source has splits
+    enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(source)
+    if size is None or size > cores * SPLIT_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE, min_rows: int = HOT_MIN_ROWS):
     """Hot keys with the number of pieces each is cut into; at most ``share`` rows."""
     total = df.agg(F.count(F.lit(1)).alias("total")).scalar()

@@ -30,9 +30,6 @@ BODY_FIELDS = (
     "is_deleted",
 )
 TOP_FIELDS = ("_id", "created_at", "expire_at", "update_count")
-NUMBERS = ("visit_count", "duration", "posted_timestamp", "like_count", "update_count")
-NUMBERS_EXTENDED = NUMBERS + ("id", "created_at", "expire_at")
-TEXTS = TEXT_FIELDS + ("_id", "id", "tags", "posted_date", "comments", "created_at", "expire_at")
 NEVER_NULL = ("visit_count", "duration", "posted_timestamp", "comments", "update_count")
 
 # Every field a variant: absent is SQL NULL, JSON null a variant null.
@@ -65,27 +62,14 @@ def normalize(lines: DataFrame, dialect: str = "daily", text: str = "value") ->
         F.col("_line.object").isNull().alias("_no_object"),
         *[F.to_json(path).alias(f"_j_{name}") for name, path in zip(names, paths)],
     )
-    numbers = NUMBERS_EXTENDED if extended else NUMBERS
-    json = {name: F.col(f"_j_{name}") for name in names}
-    read = raw.select(
-        "*",
-        *[c.plain_text(json[name]).alias(f"_t_{name}") for name in TEXTS],
-        *[c.number_of(json[name], extended).alias(f"_n_{name}") for name in numbers],
-    )
-    fields = {
-        name: c.Loose(
-            json[name],
-            F.col(f"_t_{name}") if name in TEXTS else None,
-            F.col(f"_n_{name}") if name in numbers else None,
-        )
-        for name in names
-    }
+    fields = {name: c.Loose(F.col(f"_j_{name}"), extended) for name in names}
     values = _extended(fields) if extended else _daily(fields)
-    typed = read.select(
+    typed = raw.select(
         *kept,
         *["_bad", "_no_object", "_j_id", "_j_created_at", "_j_expire_at"],
         *[column.alias(f"_v_{name}") for name, column in values.items()],
     )
+    typed = typed.withColumns(_moments(extended))
     checks = _extended_checks(F.col(text)) if extended else _daily_checks(fields)
     bad = F.when(c.is_json(F.col(text)), F.lit("not an object")).otherwise(F.lit("bad json"))
     # the first thing wrong with the line
@@ -107,30 +91,23 @@ def _shared(fields: dict[str, c.Loose]) -> dict[str, Column]:
 
 
 def _daily(fields: dict[str, c.Loose]) -> dict[str, Column]:
-    comments, likes = fields["comments"], fields["like_count"]
     return _shared(fields) | {
         "id": F.when(~fields["id"].null, fields["id"].text),
         "tags": fields["tags"].text_or(""),
         "visit_count": fields["visit_count"].whole(),
         "duration": fields["duration"].small(),
         "posted_date": fields["posted_date"].text_or("1970-01-01"),
-        "posted_timestamp": d.iso_seconds(fields["posted_timestamp"].strict()),
-        "comments": F.when(comments.absent | comments.null, F.lit(0)).when(
-            comments.is_text, c.part_count(comments.text)
-        ),
-        "like_count": likes.strict(),
-        "created_at": F.when(
-            fields["created_at"].is_text, d.stored_timestamp(fields["created_at"].text)
-        ),
-        "expire_at": F.when(
-            fields["expire_at"].is_text, d.stored_timestamp(fields["expire_at"].text)
-        ),
+        "posted_timestamp": fields["posted_timestamp"].strict(),
+        "comments": fields["comments"].parts(),
+        "like_count": fields["like_count"].strict(),
+        "created_at": F.when(fields["created_at"].is_text, fields["created_at"].text),
+        "expire_at": F.when(fields["expire_at"].is_text, fields["expire_at"].text),
         "update_count": fields["update_count"].small(),
     }
 
 
 def _extended(fields: dict[str, c.Loose]) -> dict[str, Column]:
-    comments, likes, ident = fields["comments"], fields["like_count"], fields["id"]
+    comments, ident = fields["comments"], fields["id"]
     return _shared(fields) | {
         "id": F.when(ident.empty | ident.is_object, ident.whole().cast("string")).otherwise(
             ident.text
@@ -139,17 +116,25 @@ def _extended(fields: dict[str, c.Loose]) -> dict[str, Column]:
         "visit_count": fields["visit_count"].whole(),
         "duration": fields["duration"].small(),
         "posted_date": fields["posted_date"].text_or("1970-01-01 00:00:00"),
-        "posted_timestamp": d.iso_seconds(fields["posted_timestamp"].not_text()),
-        "comments": F.when(comments.empty, F.lit(0)).when(
-            comments.is_text, c.part_count(comments.text)
-        ),
-        "like_count": likes.number,
-        "created_at": d.millis_timestamp(fields["created_at"].not_text()),
-        "expire_at": d.millis_timestamp(fields["expire_at"].not_text()),
+        "posted_timestamp": fields["posted_timestamp"].not_text(),
+        "comments": F.when(comments.empty, F.lit(0)).otherwise(comments.parts()),
+        "like_count": fields["like_count"].number,
+        "created_at": fields["created_at"].not_text(),
+        "expire_at": fields["expire_at"].not_text(),
         "update_count": fields["update_count"].small(),
     }
 
 
+def _moments(extended: bool) -> dict[str, Column]:
+    """The time fields, read in the step before as seconds, milliseconds or text."""
+    read = d.millis_timestamp if extended else d.stored_timestamp
+    return {
+        "_v_posted_timestamp": d.iso_seconds(F.col("_v_posted_timestamp")),
+        "_v_created_at": read(F.col("_v_created_at")),
+        "_v_expire_at": read(F.col("_v_expire_at")),
+    }
+
+
 def _document() -> Column:
     body = F.struct(*[F.col(f"_v_{name}").alias(name) for name in BODY_FIELDS])
     return F.struct(
