@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from vidstrata.operators.keys import first_by_key, hot_keys, spread_join, unseen
+from vidstrata.operators.keys import first_by_key, fits_broadcast, hot_keys, spread_join, unseen
+from vidstrata.session import estimated_bytes
 
 NEVER_BROADCAST = 1 << 62
 
@@ -69,3 +70,37 @@ def test_small_right_side_is_broadcast(spark):
     plan = spread_join(left, right, "lk", "rk", "video", right_bytes=1000)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_no_task_gets_the_whole_hot_key(spark):
+    """A third of 60,000 rows on one key: tasks stay near their even share of 1/16."""
+    left = spark.range(60000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 5000) END AS lk", "id AS video")
+    right = spark.range(5001).selectExpr(
+        "CASE WHEN id = 5000 THEN 'hot' ELSE concat('k', id) END AS rk", "id AS channel")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+
+    def largest(joined):
+        sizes = [r["count"] for r in
+                 joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 60000
+        return max(sizes)
+
+    try:
+        plain = largest(left.join(right, F.col("lk") == F.col("rk")))
+        spread = largest(spread_join(left, right, "lk", "rk", "video", share=200, min_rows=1))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plain > 20000 and spread < 2.2 * 60000 / 16
+
+
+def test_estimated_bytes(spark):
+    scan = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert 10_000 < estimated_bytes(scan) < 1_000_000
+    assert estimated_bytes(scan.select("o_orderkey")) < estimated_bytes(scan)
+    assert fits_broadcast(scan) and not fits_broadcast(scan.crossJoin(scan).crossJoin(scan))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vidstrata.session import estimated_bytes
+
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are at most HOT_SHARE hot
 # keys, and cutting each into pieces of that size copies at most 2 * HOT_SHARE rows of the other
 # side (times its rows per key). Both bounds are independent of the data's size.
@@ -30,21 +32,12 @@ def unseen(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
 
     The target's keys are first cut down to those the source brings. When the source is an increment
     AQE broadcasts its keys and the large target is never shuffled; when both are large the two
-    joins use one partitioning.
+    joins use one partitioning. Keys the target repeats are folded before the second join.
     """
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
     return source.join(known, keys, "left_anti")
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, None where the session cannot tell."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        return int(plan.stats().sizeInBytes().toString())
-    except AttributeError:
-        return None
-
-
 def broadcast_limit(df: DataFrame) -> int:
     try:
         conf = df.sparkSession._jsparkSession.sessionState().conf()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vidstrata import schemas
@@ -26,8 +27,6 @@ def number_rows(rows: DataFrame, key: str, start: int | Column, buckets: int = I
     inside hash buckets; a bucket starts where the ones before it end. The running total is over
     ``buckets`` rows, whatever the size of the data.
     """
-    from pyspark.sql import Window as W
-
     start = F.lit(start) if isinstance(start, int) else start
     placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -54,28 +53,21 @@ def upsert_channels(
     Both join sides have one row per username, so no username can be hot in the shuffle.
     """
     folded = fold_rows(rows, order)
-    known = F.col("id").isNotNull()
-    joined = channels.join(folded, "username", "full_outer")
-    kept = joined.where(known).select(
-        "id",
-        "username",
-        "total_video_visit",
-        "video_count",
-        "start_date_timestamp",
-        "followers_count",
-        "country",
-        F.when(F.col("_times").isNull(), F.col("created_at"))
-        .otherwise(F.col("_created_at"))
-        .alias("created_at"),
-        (F.col("update_count") + F.coalesce(F.col("_times"), F.lit(0))).alias("update_count"),
+    updated = channels.join(folded, "username", "left").withColumns(
+        {
+            "created_at": F.when(F.col("_times").isNull(), F.col("created_at")).otherwise(
+                F.col("_created_at")
+            ),
+            "update_count": F.col("update_count") + F.coalesce(F.col("_times"), F.lit(0)),
+        }
     )
     last_id = channels.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
-    fresh = number_rows(folded.join(channels.select("username"), "username", "left_anti"),
-                        "username", last_id)
+    unknown = folded.join(channels.select("username"), "username", "left_anti")
+    fresh = number_rows(unknown, "username", last_id)
     defaults = {name: F.lit(value) for name, value in NEW_CHANNEL.items()}
     defaults["update_count"] = F.col("_times") - 1
     fresh = fresh.withColumns(defaults).withColumn("created_at", F.col("_created_at"))
-    return schemas.conform(kept, schemas.CHANNELS).unionByName(
+    return schemas.conform(updated, schemas.CHANNELS).unionByName(
         schemas.conform(fresh, schemas.CHANNELS)
     )
 

@@ -1,4 +1,4 @@
-"""The reference schemas filled from the TPC-H-like test tables (see FIXTURES.md)."""
+"""The library's tables filled from the TPC-H-like test tables (see FIXTURES.md)."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidstrata import schemas
-from vidstrata.operators.keys import estimated_bytes
 from vidstrata.operators.silver import silver_events
+from vidstrata.session import estimated_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from vidstrata.operators import reports as r
 from vidstrata.operators.keys import first_by_key, unseen
 from vidstrata.plans import binding, daily_run, gold, sample_lines
 from vidstrata.plans.tables import Tables
-from vidstrata.session import tune, work_dir
+from vidstrata.session import size_shuffles, tune, work_dir
 from vidstrata.sources import channel_csv, files, json_lines
 from vidstrata.streaming import intake, silver_view
 
@@ -38,7 +38,11 @@ def query(build):
     """Register ``build`` under its own name, run on a tuned session with portable output."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(build(tune(spark), sf_dir))
+        tune(spark)
+        # the two largest tables the queries read
+        sizes = [binding.table(spark, sf_dir, name) for name in ("orders", "lineitem")]
+        size_shuffles(spark, *sizes)
+        return portable(build(spark, sf_dir))
 
     QUERIES[build.__name__] = run
     return build

@@ -18,6 +18,7 @@ from vidstrata.operators.audit import Audit, Counts
 from vidstrata.operators.keys import first_by_key, unseen
 from vidstrata.operators.upsert import mark_files, number_rows, upsert_channels
 from vidstrata.plans.tables import Tables
+from vidstrata.session import size_shuffles
 from vidstrata.sources import channel_csv, files, json_lines
 from vidstrata.streaming import silver_view
 
@@ -45,6 +46,7 @@ def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str)
 
     The parsed lines are written once and read three times, so no line is parsed twice.
     """
+    size_shuffles(tables.spark, lines, tables.read("documents").select("_id"))
     staging = f"{tables.root}/staging/documents/batch={batch}"
     n.normalize(lines, dialect).write.mode("overwrite").parquet(staging)
     staged = tables.spark.read.parquet(staging)
@@ -97,6 +99,8 @@ def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:
     good, refused = channel_csv.daily_rows(
         channel_csv.read_daily(tables.spark, [path for path, _ in sorted(due)])
     )
+    due_lines = tables.spark.read.text([path for path, _ in due])
+    size_shuffles(tables.spark, tables.read("channels"), due_lines)
     names = tables.spark.createDataFrame([(key,) for _, key in due], "key string")
     rejected = tables.append("rejects", bad.unionByName(refused), f"csv-{batch}")
     tables.replace(

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 
 from vidstrata.operators.reports import REPORTS, growth_raw_counts
 from vidstrata.plans.tables import Tables
+from vidstrata.session import size_shuffles
 
 
 def refresh_full(tables: Tables, as_of=None, batch: str = "base") -> None:
     """All six tables anew from all of silver, switched over together."""
     events = tables.read("silver_events")
+    size_shuffles(tables.spark, events)
     tables.replace(
         {f"gold_{name}": report.partial(events, as_of) for name, report in REPORTS.items()}, batch
     )

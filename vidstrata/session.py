@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # All timestamps in the tables are UTC wall-clock values.
@@ -28,26 +28,41 @@ SETTINGS = {
 # more than planning the query.
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+# Input is compressed columns or text, so this is some 200 MB of rows in a task's memory.
+BYTES_PER_SHUFFLE_PARTITION = 64 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def tune(spark: SparkSession, shuffle_input_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else created.
-
-    ``shuffle_input_bytes`` sizes the number of shuffle partitions AQE starts from, so that one
-    partition fits an executor's memory; AQE merges the ones that turn out small.
-    """
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that somebody else created."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if shuffle_input_bytes is not None:
-        wanted = -(-shuffle_input_bytes // BYTES_PER_SHUFFLE_PARTITION)
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, current))
-        )
     return spark
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, None where the session cannot tell."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        return int(str(plan.stats().sizeInBytes()))
+    except AttributeError:
+        return None
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Start the next shuffles with as many partitions as the given inputs need.
+
+    Shuffle partitions then fit an executor's memory at any scale; AQE merges those that turn out
+    small. Never fewer than the session's own setting. Give stored tables or file scans: the
+    estimate of a join is far too high.
+    """
+    size = sum(estimated_bytes(df) or 0 for df in inputs)
+    wanted = min(-(-size // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, own)))
+
+
 def build_session(app: str = "vidstrata", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; on a cluster the master comes from spark-submit."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")

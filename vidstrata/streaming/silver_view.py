@@ -13,6 +13,7 @@ from vidstrata import schemas
 from vidstrata.operators.silver import silver_events
 from vidstrata.plans import gold
 from vidstrata.plans.tables import Tables
+from vidstrata.session import size_shuffles
 from vidstrata.streaming.intake import run_available
 
 REBUILDING = "rebuilding"
@@ -32,6 +33,8 @@ def refresh(
     if last is not None and _source_of(last) != source:
         return rebuild(tables, as_of, with_gold)
     added = 0
+    # the stream's session is a copy made when it starts, so this holds for all its batches
+    size_shuffles(tables.spark, tables.read("bronze_videos"))
 
     def add(batch: DataFrame, number: int) -> None:
         nonlocal added
@@ -55,6 +58,7 @@ def rebuild(tables: Tables, as_of=None, with_gold: bool = True) -> int:
     tables.note("silver_events", REBUILDING)
     _run(tables, source, lambda batch, number: None, files_per_batch=1_000_000)
     videos, channels = tables.read("bronze_videos"), tables.read("bronze_channels")
+    size_shuffles(tables.spark, videos, channels)
     batch = f"s{source}-rebuilt"
     rows = tables.replace({"silver_events": silver_events(videos, channels)}, batch)
     if with_gold:
