@@ -50,6 +50,7 @@ def test_crash_before_the_commit(spark, tables, monkeypatch):
         with pytest.raises(RuntimeError):
             tables.append("bronze_channels", channel_rows(spark, 1, 2), "after-0", "id")
     assert tables.watermark("bronze_channels") is None
+    assert tables.read("bronze_channels").count() == 0
     tables.append("bronze_channels", channel_rows(spark, 1, 2, 3), "after-0", "id")
     assert tables.read("bronze_channels").count() == 3
     assert tables.watermark("bronze_channels") == "3"

@@ -103,14 +103,14 @@ def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:
     size_shuffles(tables.spark, tables.read("channels"), due_lines)
     names = tables.spark.createDataFrame([(key,) for _, key in due], "key string")
     rejected = tables.append("rejects", bad.unionByName(refused), f"csv-{batch}")
-    tables.replace(
+    stored = tables.replace(
         {
             "channels": upsert_channels(tables.read("channels"), good),
             "csv_files": mark_files(ledger, names),
         },
         batch,
     )
-    return Counts(rows_in=len(due), rows_out=good.count(), rows_rejected=rejected)
+    return Counts(rows_in=len(due), rows_out=stored["channels"], rows_rejected=rejected)
 
 
 def bulk_load_channels(tables: Tables, path: str, strict: bool = True) -> Counts:

@@ -4,7 +4,8 @@ Layout: ``<root>/<table>/v=<version>/batch=<name>[/yyyymm=<month>]/*.parquet`` a
 ``<root>/commits``. Two kinds of write, both safe to repeat after a crash:
 
 - ``append`` writes one named batch. A repeat of the same batch overwrites its folder, so rows are
-  never stored twice; once committed the batch is not written again.
+  never stored twice; once committed the batch is not written again. Readers see committed batches
+  only. (The streaming view reads bronze files as they appear: repeat a cut-off append first.)
 - ``replace`` writes complete new versions of one or more tables and then commits them together by
   one row file. Until then readers see the old versions of all of them.
 
@@ -128,15 +129,18 @@ class Tables:
         return f"{self.root}/{name}/v={self.version(name) if version is None else version}"
 
     def _stored(self, name: str) -> DataFrame:
+        """The committed batches of the current version; folders of cut-off writes are skipped."""
         columns = schemas.TABLES[name] | {"batch": "string"}
         if name in MONTH_OF:
             columns = columns | {"yyyymm": "string"}
-        try:
-            return self.spark.read.schema(schemas.ddl(columns)).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        # one row per load, the table's history
+        log = self.commits().where(F.col("table") == name).select("version", "batch").collect()
+        if not log:
             return self.spark.createDataFrame([], schemas.ddl(columns))
+        version = max(row["version"] for row in log)
+        batches = sorted({row["batch"] for row in log if row["version"] == version})
+        stored = self.spark.read.schema(schemas.ddl(columns)).parquet(self.path(name, version))
+        return stored.where(F.col("batch").isin(batches))
 
     def read(self, name: str, without_batch: str | None = None) -> DataFrame:
         df = self._stored(name)
