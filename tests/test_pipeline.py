@@ -95,6 +95,25 @@ def test_months_are_pruned(spark, tables):
     assert tables.read_months("gold_top_channels", "202402").count() == 0
 
 
+def test_time_filters_reach_the_files(spark, tables):
+    from vidstrata.operators import increments
+
+    tables.append("bronze_videos", video_rows(spark, ("v1", 1), ("v2", 1)), "one")
+    rows = increments.between(tables.read("bronze_videos"), "2024-01-01", "2024-01-02")
+    assert rows.count() == 2
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at" in plan
+    files = tables.path("bronze_videos") + "/batch=one"
+    import pyarrow.dataset
+
+    assert "timestamp" in str(pyarrow.dataset.dataset(files).schema.field("created_at").type)
+    import pyarrow.parquet
+
+    path = pyarrow.dataset.dataset(files).files[0]
+    column = pyarrow.parquet.ParquetFile(path).schema.column(12)
+    assert column.name == "created_at" and column.physical_type == "INT64"
+
+
 def test_register_creates_the_layers(spark, tables):
     tables.append("bronze_channels", channel_rows(spark, 1), "one")
     tables.register()

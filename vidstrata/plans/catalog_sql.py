@@ -120,7 +120,7 @@ FROM silver GROUP BY 1, 2"""
 
 ACTIVITY = f"""{WITH_SILVER}, dated AS (
   SELECT *, greatest(date_diff('day',
-    CAST(to_timestamp(channel_start_date_timestamp) AT TIME ZONE 'UTC' AS DATE),
+    CAST(TIMESTAMP '1970-01-01' + to_seconds(channel_start_date_timestamp) AS DATE),
     DATE '2025-07-01'), 0) AS days FROM silver)
 SELECT channel_username, {day('channel_created_at')} AS created_date,
   CAST(sum(coalesce(channel_update_count, 0)) AS BIGINT) AS total_updates,

@@ -18,6 +18,8 @@ SETTINGS = {
     # splitting it would cost the following aggregate one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The default form of timestamps in parquet has no statistics, so time filters skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The JVM does not compile larger methods; it would interpret them, some ten times slower.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Repeated keys in a JSON document: the last one wins.
