@@ -10,10 +10,6 @@ BASE = {"_id": "a", "object": {"id": 1}}
 EPOCH_ISO = "1970-01-01T00:00:00"
 
 
-def with_body(**body):
-    return json.dumps({"_id": "a", "object": {"id": 1, **body}})
-
-
 def with_top(**top):
     return json.dumps({**BASE, **top})
 

@@ -145,6 +145,7 @@ def test_view_is_triggered_by_videos_only(spark, tables):
     assert silver_view.refresh(tables, "2025-07-01") == 1
     assert events_of(tables) == [("v1", 1), ("v3", 2)]
     assert visits(tables) == [("u1", 10), ("u2", 10)]
+    assert [r["followers_states"] for r in gold.growth_as_stored(tables).collect()] == [1, 1]
     silver_view.rebuild(tables, "2025-07-01")
     assert silver_view.refresh(tables, "2025-07-01") == 0
     assert events_of(tables) == [("v1", 1), ("v2", 2), ("v3", 2)]
@@ -209,6 +210,9 @@ def test_documents_first_seen_wins(spark, tables, tmp_path):
     assert got == {"1": "first", "2": "", "3": ""}
     assert daily_run.append_documents(tables, lines, "two", "daily").rows_out == 0
     assert tables.read("documents").count() == 3
+    tables.append("bronze_videos", video_rows(spark, ("old", 1)), "old")
+    daily_run.reload_videos(tables)
+    assert sorted(r["id"] for r in tables.read("bronze_videos").collect()) == ["1", "2", "3"]
 
 
 def test_lines_are_read_by_modification_time(spark, tmp_path):

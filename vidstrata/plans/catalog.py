@@ -50,17 +50,18 @@ def query(build):
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates and times as text and doubles rounded, so that any client compares them alike."""
-    columns = []
-    for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS")
-        elif isinstance(f.dataType, T.DoubleType):
-            column = F.round(column, 6)
-        columns.append(column.alias(f.name))
-    return df.select(*columns)
+    forms = {
+        T.DateType: "date_format(`{0}`, 'yyyy-MM-dd')",
+        T.TimestampType: "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSS')",
+        T.TimestampNTZType: "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSS')",
+        T.DoubleType: "round(`{0}`, 6)",
+    }
+    return df.selectExpr(
+        *[
+            f"{forms.get(type(f.dataType), '`{0}`').format(f.name)} AS `{f.name}`"
+            for f in df.schema.fields
+        ]
+    )
 
 
 def new_tables(spark: SparkSession) -> Tables:

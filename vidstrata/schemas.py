@@ -165,4 +165,5 @@ def ddl(columns: dict[str, str]) -> str:
 def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The declared columns in the declared order and type."""
     # as text, because a Column call per cast costs the driver more than the cast itself
-    return df.selectExpr(*[f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in columns.items()])
+    casts = [f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in columns.items()]
+    return df.selectExpr(*casts)
