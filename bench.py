@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from vidstrata.plans.catalog import QUERIES
@@ -45,7 +46,11 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
-        **{"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g"},
+        **{
+            "spark.sql.shuffle.partitions": CPUS,
+            "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,13 +74,8 @@ def build_session(app: str = "vidstrata", master: str | None = None, **conf: str
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared one the session names in ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to the machine's own temporary folder.
-    """
+    """A new folder under the shared one the session names in ``spark.checkpoint.dir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = os.path.join(tempfile.gettempdir(), "vidstrata")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
