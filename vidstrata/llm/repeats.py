@@ -464,3 +464,18 @@ def cut(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str
         F.when(copied, none).otherwise(F.coalesce("kept_sha", F.col("sha"))).alias("kept_sha256"),
         *([F.col("digest"), F.when(copied, F.lit("")).otherwise(F.col("kept")).alias("kept"), F.when(copied, True).otherwise(F.col("removed").isNotNull()).alias("changed")] if with_text else []),
     )
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` with what repeats cut out of their texts, and ``n_chars`` (if there is one) counted anew."""
+    found = cut(docs, length, doc_id, text, with_text=True).where("changed").select(F.col("doc_id").alias("__of"), F.col("digest").alias("__of_digest"), F.col("kept").alias("__kept"))
+    found = stored(found.dropDuplicates(["__of", "__of_digest"]), "repeats-changed")
+    rows = docs.withColumn("__digest", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col(doc_id).eqNullSafe(F.col("__of")) & (F.col("__digest") == F.col("__of_digest"))
+    keys = found.select("__of", "__of_digest")
+    keys = F.broadcast(keys) if found.count() <= FEW else keys
+    unchanged = rows.join(keys, same, "left_anti")
+    changed = rows.drop(text).join(keys, same, "left_semi").join(found, same).withColumn(text, F.col("__kept"))
+    if n_chars in docs.columns:
+        changed = changed.withColumn(n_chars, F.char_length(F.col(text)).cast(docs.schema[n_chars].dataType))
+    return unchanged.select(docs.columns).unionByName(changed.select(docs.columns))
