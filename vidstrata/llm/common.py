@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from vidstrata.session import work_dir
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+LONG = 1 << 22
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 # Fixed values of a 64-bit mixer with good avalanche.
@@ -86,6 +87,19 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_inverse = np.ones(1, dtype=np.uint64)
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    global _inverse
+    if len(_inverse) < n:
+        steps = np.full(max(n, 4096), _INVERSE, dtype=np.uint64)
+        steps[0] = 1
+        _inverse = np.cumprod(steps)
+    return _inverse[:n]
+
+
 def _table(separators: list[int], lower: bool) -> tuple[np.ndarray, np.ndarray]:
     inside = np.ones(256, dtype=bool)
     inside[separators] = False
@@ -109,21 +123,27 @@ class Words:
         self.data = data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         self.doc_start = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1].astype(np.int64)
-        inside = np.concatenate([[False], kind[0][data], [False]])
+        inside = np.zeros(len(data) + 2, dtype=bool)
+        inside[1:-1] = kind[0][data]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edges[::2], edges[1::2]
+        self.hash = mix(self._sums(kind[1], inside[1:-1])) if len(self.start) else np.empty(0, dtype=np.uint64)
+        # the words of row i are first_word[i] to first_word[i + 1]
+        self.first_word = np.append(np.searchsorted(self.start, self.doc_start), len(self.start))
+        self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first_word))
+
+    def _sums(self, values: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """Of each word the sum of its bytes' values times rising powers."""
+        n = len(self.data)
+        if n <= LONG:
+            total = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(values[self.data] * powers(n), out=total[1:])
+            return (total[self.end] - total[self.start]) * inverse_powers(n)[self.start]
         sizes = self.end - self.start
-        at = np.flatnonzero(inside[1:-1])
+        at = np.flatnonzero(inside)
+        offset = at - np.repeat(self.start, sizes)
         first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        if len(sizes):
-            offset = at - np.repeat(self.start, sizes)
-            values = kind[1][data[at]] * powers(int(sizes.max()))[offset]
-            self.hash = mix(np.add.reduceat(values, first))
-        else:
-            self.hash = np.empty(0, dtype=np.uint64)
-        self.doc = np.searchsorted(self.doc_start, self.start, side="right") - 1
-        # the words of row i are first_word[i] to first_word[i + 1]
-        self.first_word = np.searchsorted(self.doc, np.arange(len(texts) + 1))
+        return np.add.reduceat(values[self.data[at]] * powers(int(sizes.max()))[offset], first)
 
 
 def shingles(words: Words, size: int = 5) -> list[np.ndarray]:

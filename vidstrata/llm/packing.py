@@ -25,11 +25,12 @@ from vidstrata.llm.common import Words, as_bytes, groups, mix, shuffle_partition
 LENGTH = 4096
 CLOSING = 2
 TOKENIZER = "word_bpe_49k.json"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may belong to the letters behind it
 DIMENSIONS = 1024
 AXES = 4
 DEPTH = 15  # bits of an axis
 SAMPLE = 20_000
-CACHED_WORDS = 300_000
+REMEMBERED = 400_000
 
 _SIGNS = (mix(np.arange(1, DIMENSIONS * AXES + 1, dtype=np.uint64)) & np.uint64(1)).astype(np.float32).reshape(DIMENSIONS, AXES) * 2 - 1
 
@@ -79,11 +80,15 @@ def curve_keys(texts: list[bytes]) -> np.ndarray:
 class Encoder:
     """Token ids of whole texts as 16-bit numbers, remembered word by word.
 
-    The tokenizer never joins characters across spaces and newlines, so a text's ids are those of its
-    pieces between them, one after the other.
+    The tokenizer never joins characters across spaces and newlines, nor letters with the signs behind
+    them, so a text's ids are those of its words one after the other, and a word's those of its letters
+    and of its closing signs. Letters are looked up in lower case, which is all the tokenizer sees.
     """
 
     def __init__(self, path: str | None):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         from tokenizers import Tokenizer
 
         if path is None:
@@ -91,23 +96,57 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        vocabulary = self.tokenizer.get_vocab()
+        self.wide = max(vocabulary.values()) >= 1 << 16
+        self.kind = "<u4" if self.wide else "<u2"
+        self.width = 4 if self.wide else 2
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def learn(self, new: set[str]) -> None:
+        """Remember the ids of words not seen before."""
+        parts: dict[str, tuple[str, str]] = {}
+        other = []
+        for word in new:
+            letters = word.rstrip(SIGNS)
+            if letters.isalpha() and max(letters) < "\u0100":
+                parts[word] = letters.lower(), word[len(letters) :]
+            else:
+                other.append(word)
+        found = {}
+        # a run of letters is one piece and ends with the only token that closes a piece
+        plain = list({x for x, _ in parts.values()})
+        some = [plain[a : a + 500] for a in range(0, len(plain), 500)]
+        for letters, ids in zip(some, self.ids([" ".join(x) for x in some]), strict=True):
+            ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.width).tolist()
+            data = ids.tobytes()
+            found.update(zip(letters, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+        signs = list({x for _, x in parts.values()})
+        for sign, ids in zip(signs, self.ids(signs), strict=True):
+            found[sign] = ids.tobytes()
+        for word, (letters, sign) in parts.items():
+            self.words[word] = found[letters] + found[sign]
+        for a in range(0, len(other), 20_000):
+            for word, ids in zip(other[a : a + 20_000], self.ids(other[a : a + 20_000]), strict=True):
+                self.words[word] = ids.tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text and the closing id, as little-endian 32-bit numbers if the vocabulary needs it, else 16-bit."""
-        kind = "<u4" if self.wide else "<u2"
-        closing = np.array([CLOSING], dtype=kind).tobytes()
+        """Ids of each text and the closing id, little-endian; 32-bit numbers if the vocabulary needs it."""
+        closing = np.array([CLOSING], dtype=self.kind).tobytes()
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for a in range(0, len(new), 20_000):
-            some = new[a : a + 20_000]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, dtype=kind).tobytes()
-        return [b"".join([known[w] for w in words]) + closing for words in split]
+        if len(self.words) > REMEMBERED:  # words that come again return from the older half
+            self.words, self.older = {"": b""}, self.words
+        new = set().union(*split).difference(self.words)
+        back = new.intersection(self.older)
+        self.words.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        self.learn(new.difference(back))
+        look = self.words.__getitem__
+        return [b"".join(map(look, words)) + closing for words in split]
 
 
 _encoders: dict[str | None, Encoder] = {}
@@ -143,8 +182,8 @@ def tokens(docs: DataFrame, cuts: list[tuple[int, int]], doc_id: str, text: str,
     def run(batches: Iterator):
         own = encoder(path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
+            for a in range(0, batch.num_rows, 2000):
+                part = batch.slice(a, 2000)
                 keys = curve_keys([t or b"" for t in as_bytes(part.column(1))])
                 ties = part.column(2).to_pylist()
                 buckets = np.searchsorted(cut_keys, keys, side="left")
@@ -174,7 +213,7 @@ def closing_cuts(size: int) -> list[int]:
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row for each piece of a document in a sequence; ``with_ids`` adds its token ids."""
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark, 2000)
     ranges = shuffle_partitions(spark)
     cuts = splitters(docs, ranges, doc_id, text)
     rows = tokens(docs, cuts, doc_id, text, path).repartition(ranges, "bucket")
@@ -184,7 +223,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator):
-        width = 4 if encoder(path).wide else 2
+        width = encoder(path).width
         part, sequence, filled = 0, 0, 0
         open_pieces: list[tuple] = []  # of the sequence being filled: id, start, ids, tokens of the document
 

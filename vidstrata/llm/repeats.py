@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import _VALUES, as_bytes, mix, powers, shuffle_partitions, small_batches, stored
+from vidstrata.llm.common import _VALUES, as_bytes, inverse_powers, mix, powers, shuffle_partitions, small_batches, stored
 
 LENGTH = 200
 HOT = 50_000
@@ -36,18 +36,6 @@ BLOCK = 1 << 20
 CHUNK_ROWS = 8192
 FEW = 2_000_000  # ids of documents, some 50 MB, that may be broadcast to spare a shuffle of texts
 
-_INVERSE = np.uint64(pow(int(powers(2)[1]), -1, 1 << 64))
-_inverse = np.ones(1, dtype=np.uint64)
-
-
-def inverse_powers(n: int) -> np.ndarray:
-    global _inverse
-    if len(_inverse) < n:
-        steps = np.full(max(n, 4096), _INVERSE, dtype=np.uint64)
-        steps[0] = 1
-        _inverse = np.cumprod(steps)
-    return _inverse[:n]
-
 
 def gram_size(length: int) -> int:
     return max(length * 64 // 200, 4)
