@@ -77,6 +77,15 @@ def curve_keys(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def lowered(text: str) -> str:
+    """Lower case where it is sure to be the tokenizer's own: texts of Latin-1 characters."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Token ids of whole texts as 16-bit numbers, remembered word by word.
 
@@ -138,7 +147,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the closing id, little-endian; 32-bit numbers if the vocabulary needs it."""
         closing = np.array([CLOSING], dtype=self.kind).tobytes()
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        split = [lowered(t).replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.words) > REMEMBERED:  # words that come again return from the older half
             self.words, self.older = {"": b""}, self.words
         new = set().union(*split).difference(self.words)
