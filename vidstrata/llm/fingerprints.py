@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vidstrata.llm.common import Words, groups, mix, powers, shuffle_partitions, small_batches, stored
 
-BITS = 128
+BITS = 256
 EMPTY = bytes(BITS // 8)
 
 
@@ -30,7 +30,7 @@ def fingerprint(terms: np.ndarray) -> bytes:
         return EMPTY
     term, times = np.unique(terms, return_counts=True)
     weight = (1 + np.log(times)).astype(np.float32)
-    halves = np.stack([term, mix(term ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
+    halves = np.stack([mix(term + powers(8)[j + 1]) for j in range(BITS // 64)], axis=1)
     votes = np.zeros(BITS, dtype=np.float32)
     for a in range(0, len(term), 4096):  # a few rows of bits at a time
         bits = np.unpackbits(halves[a : a + 4096].view(np.uint8), axis=1).astype(np.float32)
@@ -175,7 +175,8 @@ def within_radius(prints: DataFrame, radius: int, fingerprint_column: str = "fin
     """
     n = radius + spare
     edges = [BITS * i // n for i in range(n + 1)]
-    bits = F.lpad(F.conv(F.substring("mark", 1, 16), 16, 2), 64, "0"), F.lpad(F.conv(F.substring("mark", 17, 16), 16, 2), 64, "0")
+    starts = range(1, BITS // 4, 16)  # of the 64-bit numbers in the hex form
+    bits = [F.lpad(F.conv(F.substring("mark", s, 16), 16, 2), 64, "0") for s in starts]
     own = prints.select(F.col(fingerprint_column).alias("mark")).where("mark IS NOT NULL").distinct()
     own = own.withColumn("bits", F.concat(*bits))
     keys = []
@@ -185,6 +186,8 @@ def within_radius(prints: DataFrame, radius: int, fingerprint_column: str = "fin
     tables = own.select("mark", F.explode(F.array(*keys)).alias("k")).select("mark", "k.table", "k.key")
     left, right = tables.withColumnRenamed("mark", "a"), tables.withColumnRenamed("mark", "b")
     near = left.join(right, ["table", "key"]).where("a < b")
-    halves = [F.conv(F.substring(c, s, 16), 16, -10).cast("long") for s in (1, 17) for c in ("a", "b")]
-    distance = F.bit_count(halves[0].bitwiseXOR(halves[1])) + F.bit_count(halves[2].bitwiseXOR(halves[3]))
+    distance = F.lit(0)
+    for s in starts:
+        one, two = (F.conv(F.substring(c, s, 16), 16, -10).cast("long") for c in ("a", "b"))
+        distance = distance + F.bit_count(one.bitwiseXOR(two))
     return near.select("a", "b", distance.cast("int").alias("distance")).where(F.col("distance") <= radius).distinct()
