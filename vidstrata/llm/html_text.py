@@ -4,9 +4,9 @@ A page is cut into tags and runs of text. Words score by the log-odds, over the
 names around them, of main against other text; tags score negative. One linear scan (best sum of
 consecutive scores) finds the content region; it is widened to the ``article`` or ``main`` element it
 lies in. The weights come from labelled pages: a page with exactly one ``article`` (else one ``main``)
-element labels its own words, those inside it as main text. Names that stand for menus, notices,
-adverts and the like have a fixed prior against them, and what lies in such elements is left out of the
-region too.
+element labels its own words, those inside it as main text. Elements named for menus, notices,
+adverts and the like score slightly negative wherever they stand, and are left out of the
+region.
 
 A null, empty or text-free page has an empty text. Unclosed elements end with their parent, an unclosed
 tag or comment takes the rest of the page. Blocks are joined by one newline, white space within a block
@@ -39,7 +39,7 @@ ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form header"
     " hgroup hr main menu nav ol p pre section table ul li dd dt".split()
 ) | HEADINGS
-LEFT_OUT = frozenset("head nav footer aside form menu button select dialog option datalist input".split())
+NAMES_OF_LEFT_OUT = frozenset("head nav footer aside form menu button select dialog option datalist input".split())
 NAMES_LEFT_OUT = re.compile(
     r"(?:^|[-_])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar"
     r"|side|footer|masthead|topbar|toolbar|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe"
@@ -50,6 +50,9 @@ NAMES_LEFT_OUT = re.compile(
 ROLES_LEFT_OUT = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 SLOTS = 4096
+LEFT_OUT_TAG = SLOTS  # in place of the slot of a tag within an element that is left out
+UNSEEN_TAG = 0.5
+LEFT_OUT = 0.05  # against a word or tag in an element that is left out, in the region or not
 LIMIT = 3.0  # of one name's weight
 WORD_BASE = 0.5
 
@@ -89,7 +92,7 @@ def slot(name: str) -> int:
 
 
 def element(name: str, attributes: str, inside_main: bool) -> Element:
-    names, left_out = [f"<{name}"], name in LEFT_OUT or (name == "header" and not inside_main)
+    names, left_out = [f"<{name}"], name in NAMES_OF_LEFT_OUT or (name == "header" and not inside_main)
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -153,9 +156,10 @@ def parse(source: str) -> Page:
             break
         tag, attributes = name.group().lower(), source[name.end() : close - 1]
         at = close
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in RAW:
             block += 1
-        page.items.append(slot(f"<{tag}"))
+        opened = len(page.items)
+        page.items.append(LEFT_OUT_TAG if out else slot(f"<{tag}"))
         if closing:
             if open_names[tag] > 0:
                 depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].name == tag)
@@ -182,6 +186,8 @@ def parse(source: str) -> Page:
         stack.append(new)
         open_names[tag] += 1
         out += new.left_out
+        if new.left_out:
+            page.items[opened] = LEFT_OUT_TAG
     return page
 
 
@@ -195,18 +201,23 @@ def labelled_main(page: Page) -> int:
 
 
 def counts(page: Page, found: np.ndarray) -> None:
-    """Add the page's words (rows 0, 1) and tags (rows 2, 3), outside and inside its main text."""
+    """Add the page's words (rows 0, 1) and tags (rows 2, 3), outside and inside its main text.
+
+    What lies in elements that are left out anyway tells nothing about the names within them.
+    """
     main = labelled_main(page)
     if not main:
         return
     inside = 0
     for item in page.items:
         if isinstance(item, Run):
-            inside = int(item.main == main and not item.left_out)
+            if item.left_out:
+                continue
+            inside = int(item.main == main)
             for s in set(item.slots):
                 found[inside, s] += item.words
             found[inside, SLOTS] += item.words
-        else:
+        elif item != LEFT_OUT_TAG:
             found[2 + inside, item] += 1
 
 
@@ -222,14 +233,16 @@ class Weights:
         seen = found[0, :SLOTS] + found[1, :SLOTS] > 0
         word = np.clip(np.where(seen, odds, 0), -LIMIT, LIMIT)
         # tags per word outside against inside; always against the region
-        out_rate = (found[2, :SLOTS] + 0.5) / (found[0, SLOTS] + 1)
-        in_rate = (found[3, :SLOTS] + 0.5) / (found[1, SLOTS] + 1)
-        tag = -np.clip(np.log(out_rate / in_rate), 0.1, LIMIT)
+        out_rate = (found[2, :SLOTS] + 0.5) / (found[0, SLOTS] + SLOTS)
+        in_rate = (found[3, :SLOTS] + 0.5) / (found[1, SLOTS] + SLOTS)
+        known = found[2, :SLOTS] + found[3, :SLOTS] > 0
+        tag = -np.where(known, np.clip(np.log(out_rate / in_rate), 0.1, LIMIT), UNSEEN_TAG)
+        tag = np.append(tag, -LEFT_OUT)  # LEFT_OUT_TAG
         return cls(word, tag)
 
     def run_score(self, run: Run) -> float:
         if run.left_out:
-            return -LIMIT * run.words
+            return -LEFT_OUT * run.words
         odds = float(self.word[list(run.slots)].sum()) if run.slots else 0.0
         return run.words * min(max(WORD_BASE + odds, -LIMIT), LIMIT)
 
