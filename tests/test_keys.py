@@ -43,7 +43,7 @@ def skewed(spark):
 def test_spread_join_equals_the_plain_join(spark):
     left, right = skewed(spark)
     plain = left.join(right, F.col("lk") == F.col("rk"))
-    spread = spread_join(left, right, "lk", "rk", "video", share=20, min_rows=1,
+    spread = spread_join(left, right, "lk", "rk", "video", share=20,
                          right_bytes=NEVER_BROADCAST)
     assert spread.columns == plain.columns
     key = lambda df: sorted((r["lk"], r["video"], r["channel"]) for r in df.collect())
@@ -53,14 +53,14 @@ def test_spread_join_equals_the_plain_join(spark):
 
 def test_hot_keys_are_few_and_cut_fine(spark):
     left, _ = skewed(spark)
-    hot = {r["lk"]: r["_pieces"] for r in hot_keys(left, "lk", share=20, min_rows=1).collect()}
+    hot = {r["lk"]: r["_pieces"] for r in hot_keys(left, "lk", share=20).collect()}
     assert set(hot) == {"hot"}
     assert 6 <= hot["hot"] <= 7
 
 
 def test_spread_join_spreads_the_hot_key(spark):
     left, right = skewed(spark)
-    plan = spread_join(left, right, "lk", "rk", "video", share=20, min_rows=1,
+    plan = spread_join(left, right, "lk", "rk", "video", share=20,
                        right_bytes=NEVER_BROADCAST)._jdf.queryExecution().optimizedPlan().toString()
     assert "_piece" in plan and "xxhash64(video" in plan
 
@@ -92,7 +92,7 @@ def test_no_task_gets_the_whole_hot_key(spark):
 
     try:
         plain = largest(left.join(right, F.col("lk") == F.col("rk")))
-        spread = largest(spread_join(left, right, "lk", "rk", "video", share=200, min_rows=1))
+        spread = largest(spread_join(left, right, "lk", "rk", "video", share=200))
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)

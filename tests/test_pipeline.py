@@ -9,7 +9,7 @@ from vidstrata import schemas
 from vidstrata.operators.audit import Audit, Counts
 from vidstrata.plans import daily_run, gold
 from vidstrata.plans.tables import Tables
-from vidstrata.sources import json_lines, relational
+from vidstrata.sources import files, json_lines, relational
 from vidstrata.streaming import intake, silver_view
 
 
@@ -42,7 +42,7 @@ def test_append_is_idempotent(spark, tables):
 
 
 def test_crash_before_the_commit(spark, tables, monkeypatch):
-    def crash(rows):
+    def crash(rows, folded=None):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
@@ -59,7 +59,7 @@ def test_crash_before_the_commit(spark, tables, monkeypatch):
 def test_replace_switches_all_tables_together(spark, tables, monkeypatch):
     tables.replace({"csv_files": ledger(spark, "a"), "channels": channel_rows(spark, 1)})
 
-    def crash(rows):
+    def crash(rows, folded=None):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
@@ -114,15 +114,76 @@ def test_time_filters_reach_the_files(spark, tables):
     assert column.name == "created_at" and column.physical_type == "INT64"
 
 
-def test_register_creates_the_layers(spark, tables):
+def test_registered_tables_show_what_is_committed(spark, tables, monkeypatch):
+    def shown():
+        return sorted(r["id"] for r in spark.table("bronze.channels").collect())
+
+    tables.register()
+    assert shown() == [] and spark.sql("SHOW TABLES IN gold").where("NOT isTemporary").count() == 6
     tables.append("bronze_channels", channel_rows(spark, 1), "one")
     tables.register()
-    assert spark.sql("SHOW TABLES IN gold").count() == 6
-    assert "username" in spark.table("bronze.channels").columns
+    assert shown() == [1]
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            tables.append("bronze_channels", channel_rows(spark, 9), "cut off")
+    tables.append("bronze_channels", channel_rows(spark, 2), "two")
+    assert shown() == [1, 2]
+    tables.replace({"bronze_channels": channel_rows(spark, 1, 2, 3)})
+    assert shown() == [1, 2, 3]
     for layer in ("bronze", "silver", "gold"):
         spark.sql(f"DROP DATABASE {layer} CASCADE")
     for name in ("documents", "channels", "csv_files", "rejects", "run_audit"):
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP VIEW {name}")
+
+
+def lost(*args, **kwargs):
+    raise RuntimeError("lost")
+
+
+def test_batch_counts_once_after_replace(spark, tables):
+    tables.append("csv_files", ledger(spark, "a"), "one")
+    tables.replace({"csv_files": tables.read("csv_files")}, "folded")
+    assert tables.append("csv_files", ledger(spark, "a"), "one") == 0
+    assert names(tables) == ["a"]
+
+
+def test_replayed_batch_counts_once_after_compaction(spark, tables):
+    from vidstrata.operators.silver import silver_events
+
+    events = silver_events(video_rows(spark, ("v1", 1)), channel_rows(spark, 1))
+    gold.refresh_append(tables, events, "one", "2025-07-01")
+    gold.compact(tables)
+    gold.refresh_append(tables, events, "one", "2025-07-01")
+    assert visits(tables) == [("u1", 10)]
+
+
+def test_last_batch_goes_by_number_not_by_clock(spark, tables, monkeypatch):
+    import vidstrata.plans.tables as module
+
+    class Clock(dt.datetime):
+        at = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+
+        @classmethod
+        def now(cls, tz=None):
+            cls.at -= dt.timedelta(days=1)
+            return cls.at
+
+    monkeypatch.setattr(module.dt, "datetime", Clock)
+    for last in (1, 2, 3):
+        tables.append("bronze_channels", channel_rows(spark, last), f"b{last}", "id")
+    assert tables.watermark("bronze_channels") == "3"
+
+
+def test_many_loads_plan_no_list_of_names(spark, tables):
+    tables.append("csv_files", ledger(spark, "a"), "first")
+    row = spark.range(1000).selectExpr(
+        "'csv_files' AS `table`", "0 AS version", "concat('b', id) AS batch", "cast(NULL AS string) AS watermark",
+        "id + 2 AS number", "false AS folded", "current_timestamp() AS committed_at")
+    row.coalesce(1).write.mode("append").parquet(f"{tables.root}/commits")
+    plan = tables.read("csv_files")._jdf.queryExecution().executedPlan().toString()
+    assert "b999" not in plan
+    assert names(tables) == ["a"]
 
 
 def events_of(tables):
@@ -152,36 +213,50 @@ def test_view_is_triggered_by_videos_only(spark, tables):
     assert visits(tables) == [("u1", 10), ("u2", 20)]
 
 
-def test_view_after_a_crash_between_silver_and_gold(spark, tables, monkeypatch):
+@pytest.mark.parametrize("with_first", [False, True])
+@pytest.mark.parametrize("step", ["silver written", "gold written"])
+@pytest.mark.parametrize("job", ["refresh", "rebuild"])
+def test_view_after_a_crash(spark, tables, monkeypatch, job, step, with_first):
     tables.append("bronze_channels", channel_rows(spark, 1), "c1")
+    if with_first:
+        tables.append("bronze_videos", video_rows(spark, ("v0", 1)), "v0")
+        silver_view.refresh(tables, "2025-07-01")
     tables.append("bronze_videos", video_rows(spark, ("v1", 1)), "v1")
-
-    def crash(*args, **kwargs):
-        raise RuntimeError("lost")
-
+    before = events_of(tables), visits(tables)
     with monkeypatch.context() as patch:
-        patch.setattr(gold, "refresh_append", crash)
-        with pytest.raises(Exception, match="lost"):
-            silver_view.refresh(tables, "2025-07-01")
+        if step == "silver written":
+            patch.setattr(gold, "states", lost)
+        else:
+            patch.setattr(Tables, "_commit", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            getattr(silver_view, job)(tables, "2025-07-01")
+    assert (events_of(tables), visits(tables)) == before
+    silver_view.refresh(tables, "2025-07-01")
     silver_view.refresh(tables, "2025-07-01")
-    assert events_of(tables) == [("v1", 1)] and visits(tables) == [("u1", 10)]
+    want = ["v0", "v1"] if with_first else ["v1"]
+    assert events_of(tables) == [(v, 1) for v in want] and visits(tables) == [("u1", 10 * len(want))]
 
 
-def test_interrupted_rebuild_is_finished_by_the_next_refresh(spark, tables, monkeypatch):
+def test_view_never_sees_uncommitted_videos(spark, tables, monkeypatch):
     tables.append("bronze_channels", channel_rows(spark, 1), "c1")
+    tables.append("bronze_videos", video_rows(spark, ("v0", 1)), "v0")
+    with monkeypatch.context() as patch:
+        patch.setattr(Tables, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            tables.append("bronze_videos", video_rows(spark, ("v1", 1)), "v1")
+    silver_view.refresh(tables, "2025-07-01")
+    assert events_of(tables) == [("v0", 1)]
     tables.append("bronze_videos", video_rows(spark, ("v1", 1)), "v1")
     silver_view.refresh(tables, "2025-07-01")
-    tables.append("bronze_videos", video_rows(spark, ("v2", 1)), "v2")
+    assert events_of(tables) == [("v0", 1), ("v1", 1)] and visits(tables) == [("u1", 20)]
 
-    def crash(*args, **kwargs):
-        raise RuntimeError("lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(Tables, "replace", crash)
-        with pytest.raises(RuntimeError):
-            silver_view.rebuild(tables, "2025-07-01")
-    silver_view.refresh(tables, "2025-07-01")
-    assert events_of(tables) == [("v1", 1), ("v2", 1)] and visits(tables) == [("u1", 20)]
+def test_videos_without_channel_are_taken_in_once(spark, tables):
+    tables.append("bronze_videos", video_rows(spark, ("v1", 1)), "v1")
+    assert silver_view.refresh(tables, "2025-07-01") == 0
+    tables.append("bronze_channels", channel_rows(spark, 1), "c1")
+    assert silver_view.refresh(tables, "2025-07-01") == 0
+    assert events_of(tables) == []
 
 
 def test_once_only_intake(spark, tmp_path):
@@ -226,6 +301,10 @@ def test_lines_are_read_by_modification_time(spark, tmp_path):
     until = dt.datetime.fromtimestamp(1_800_000_000, dt.timezone.utc)
     got = json_lines.read_lines(spark, str(tmp_path), since, until).collect()
     assert sorted(r["value"] for r in got) == ["edge.json", "new.json"]
+    early = json_lines.read_lines(spark, str(tmp_path), until=since).collect()
+    assert sorted(r["value"] for r in early) == ["old.json"]
+    for bounds, n in (((since, until), 2), ((since, None), 3), ((None, until), 3), ((None, None), 4)):
+        assert files.modified_since(spark, str(tmp_path), *bounds).count() == n
 
 
 def test_whole_run_twice(spark, tmp_path):
@@ -234,13 +313,19 @@ def test_whole_run_twice(spark, tmp_path):
     (tmp_path / "csv" / "2025-01-01").mkdir(parents=True)
     (tmp_path / "csv" / "2025-01-01" / "c.csv").write_text("_id,created_at\nu1,2025-01-01\n")
     run = daily_run.Run(dt.datetime(2025, 1, 2), str(tmp_path / "json"), str(tmp_path / "csv"))
-    for _ in range(2):
+    for again in (False, True):
         rows = daily_run.run(spark, str(tmp_path / "out"), run)
-        assert {r["status"] for r in rows.collect()} == {"success"}
+        got = {r["stage"]: (r["status"], r["rows_out"], r["rows_rejected"]) for r in rows.collect()}
+        assert got["documents"] == (("skipped", None, None) if again else ("success", 1, 1))
+        assert {status for status, *_ in got.values()} <= {"success", "skipped"}
+    assert not (tmp_path / "out" / "staging" / "documents" / f"batch={run.batch}").exists()
     tables = Tables(spark, str(tmp_path / "out"))
+    daily_run.reload_videos(tables)
+    daily_run.run(spark, tables.root, run)
+    assert tables.read("bronze_videos").count() == 1
     assert visits(tables) == [("u1", 7)]
     assert tables.read("rejects").count() == 1
-    assert tables.read("run_audit").count() == 10
+    assert tables.read("run_audit").count() == 15
 
 
 def test_audit_notes_retry_and_failure(spark):
@@ -259,6 +344,16 @@ def test_audit_notes_retry_and_failure(spark):
     assert got == [("flaky", "retry", None), ("flaky", "success", 3), ("bad", "failure", None)]
 
 
+def test_audit_keeps_the_whole_error(spark):
+    def fail(text):
+        raise ValueError(text)
+
+    audit = Audit(spark, "r")
+    with pytest.raises(ValueError):
+        audit.stage("bad", lambda: fail("x" * 900), attempts=1)
+    assert "x" * 900 in audit.rows().first()["message"]
+
+
 def test_keyset_options_cover_the_range():
     options = relational.keyset_options("jdbc:x", "channels", 10, 3_000_010)
     assert (options["lowerBound"], options["upperBound"]) == ("11", "3000011")

@@ -17,6 +17,7 @@ class Counts:
     rows_in: int | None = None
     rows_out: int | None = None
     rows_rejected: int | None = None
+    skipped: bool = False  # the stage's batch was there already
 
 
 class Audit:
@@ -45,11 +46,11 @@ class Audit:
             except Exception as error:
                 final = attempt == attempts
                 status = "failure" if final else "retry"
-                self.note(name, status, Counts(), started, str(error)[:500])
+                self.note(name, status, Counts(), started, str(error))
                 if final:
                     raise
             else:
-                self.note(name, "success", counts, started)
+                self.note(name, "skipped" if counts.skipped else "success", counts, started)
                 return counts
         raise AssertionError("unreachable")
 

@@ -11,8 +11,6 @@ from vidstrata.session import estimated_bytes
 # keys, and cutting each into pieces of that size copies at most 2 * HOT_SHARE rows of the other
 # side (times its rows per key). Both bounds are independent of the data's size.
 HOT_SHARE = 2000
-HOT_MIN_ROWS = 100_000
-SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -51,25 +49,12 @@ def fits_broadcast(df: DataFrame, size: int | None = None) -> bool:
     return size is not None and size <= broadcast_limit(df)
 
 
-def spread_small(df: DataFrame, source: DataFrame) -> DataFrame:
-    """``df`` over all cores when its source is too small to come in enough splits.
-
-    For row-wise work that costs far more than a shuffle of its input. A large source has splits
-    enough and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_bytes(source)
-    if size is None or size > cores * SPLIT_BYTES:
-        return df
-    return df.repartition(cores)
-
-
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE, min_rows: int = HOT_MIN_ROWS):
+def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
     """Hot keys with the number of pieces each is cut into; at most ``share`` rows."""
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("total")).scalar()  # from the same counts
     return counts.where(
-        F.col(key).isNotNull() & (F.col("_n") >= min_rows) & (F.col("_n") * share > total)
+        F.col(key).isNotNull() & (F.col("_n") * share > total)
     ).select(key, F.ceil(F.col("_n") * share / total).cast("int").alias("_pieces"))
 
 
@@ -80,7 +65,6 @@ def spread_join(
     right_key: str,
     spread_by: str,
     share: int = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
     right_bytes: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of a large ``left`` whose keys may be hot; many-to-many allowed.
@@ -92,7 +76,7 @@ def spread_join(
     """
     if fits_broadcast(right, right_bytes):
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "inner")
-    hot = hot_keys(left.select(left_key), left_key, share, min_rows)
+    hot = hot_keys(left.select(left_key), left_key, share)
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     hot_left = F.broadcast(hot.withColumnRenamed(left_key, "_hot"))
     spread = (

@@ -58,8 +58,10 @@ def violations(channels: DataFrame) -> DataFrame:
 
 
 def require(channels: DataFrame) -> DataFrame:
-    """``channels`` unchanged, or an error that names some of what is wrong."""
-    bad = violations(channels).limit(5).collect()
+    """``channels`` unchanged, or an error that gives the number of violations and five examples."""
+    found = violations(channels)
+    bad = found.limit(5).collect()
     if bad:
-        raise QualityError("; ".join(f"{r['rule']}: {r['username']} ({r['n']})" for r in bad))
+        examples = "; ".join(f"{r['rule']}: {r['username']} ({r['n']})" for r in bad)
+        raise QualityError(f"{found.count()} violations, among them {examples}")
     return channels

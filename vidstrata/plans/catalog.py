@@ -90,7 +90,7 @@ def silver_events(spark, sf_dir):
 def silver_events_spread(spark, sf_dir):
     """The same join the way it runs when the channels do not fit a broadcast."""
     never = 1 << 62
-    return binding.silver(spark, sf_dir, right_bytes=never, min_rows=1)
+    return binding.silver(spark, sf_dir, right_bytes=never)
 
 
 # --- reports ---------------------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from vidstrata.operators.audit import Audit, Counts
 from vidstrata.operators.keys import first_by_key, unseen
 from vidstrata.operators.upsert import mark_files, number_rows, upsert_channels
 from vidstrata.plans.tables import Tables
-from vidstrata.session import size_shuffles
+from vidstrata.session import remove_folder, size_shuffles
 from vidstrata.sources import channel_csv, files, json_lines
 from vidstrata.streaming import silver_view
 
@@ -44,8 +44,11 @@ class Run:
 def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str) -> Counts:
     """Normalise, keep refused lines apart, and store documents whose ``_id`` is new.
 
-    The parsed lines are written once and read three times, so no line is parsed twice.
+    The parsed lines are written once and read three times, so no line is parsed twice; what was written
+    for that goes when the batch is committed. A batch that is there is not read again.
     """
+    if tables.holds("documents", batch):
+        return Counts(skipped=True)
     size_shuffles(tables.spark, lines, tables.read("documents").select("_id"))
     staging = f"{tables.root}/staging/documents/batch={batch}"
     n.normalize(lines, dialect).write.mode("overwrite").parquet(staging)
@@ -54,15 +57,19 @@ def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str)
     good = n.accepted(staged, *json_lines.LINE_ORDER)
     firsts = first_by_key(good, ["_id"], list(json_lines.LINE_ORDER))
     new = unseen(firsts, tables.read("documents", without_batch=batch), ["_id"])
-    return Counts(
+    counts = Counts(
         rows_in=staged.count(),
         rows_rejected=tables.append("rejects", bad, f"json-{batch}"),
         rows_out=tables.append("documents", new.drop(*json_lines.LINE_ORDER), batch),
     )
+    remove_folder(tables.spark, staging)
+    return counts
 
 
 def append_videos(tables: Tables, batch: str, created_since=None) -> Counts:
     """This batch's documents as bronze videos, optionally only those created since a time."""
+    if tables.holds("bronze_videos", batch):
+        return Counts(skipped=True)
     documents = tables.read_batch("documents", batch)
     taken = documents
     if created_since is not None:
@@ -77,7 +84,9 @@ def reload_videos(tables: Tables) -> None:
     """All documents as bronze videos, one per ``_id``, in place of what is there."""
     documents = tables.read("documents")
     order = ["created_at", "update_count"]
-    tables.replace({"bronze_videos": n.flatten(increments.snapshot(documents, order))})
+    videos = n.flatten(increments.snapshot(documents, order))
+    # a later run of any of these batches must not add its documents once more
+    tables.replace({"bronze_videos": videos}, folded={"bronze_videos": tables.batches("documents")})
 
 
 def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:

@@ -9,25 +9,28 @@ from vidstrata.plans.tables import Tables
 from vidstrata.session import size_shuffles
 
 
+NAMES = tuple(f"gold_{name}" for name in REPORTS)
+
+
+def states(events: DataFrame, as_of=None) -> dict[str, DataFrame]:
+    """The rows of all six tables for the given silver rows."""
+    return {f"gold_{name}": report.partial(events, as_of) for name, report in REPORTS.items()}
+
+
 def refresh_full(tables: Tables, as_of=None, batch: str = "base") -> None:
     """All six tables anew from all of silver, switched over together."""
     events = tables.read("silver_events")
     size_shuffles(tables.spark, events)
-    tables.replace(
-        {f"gold_{name}": report.partial(events, as_of) for name, report in REPORTS.items()}, batch
-    )
+    tables.replace(states(events, as_of), batch)
 
 
 def refresh_append(tables: Tables, new_events: DataFrame, batch: str, as_of=None) -> None:
     """Add the states of silver rows that gold has not seen yet.
 
     Feeding the same rows again under another batch name would count them twice; under the same
-    name it changes nothing.
+    name it changes nothing, before or after the tables were compacted.
     """
-    tables.append_all(
-        {f"gold_{name}": report.partial(new_events, as_of) for name, report in REPORTS.items()},
-        batch,
-    )
+    tables.append_all(states(new_events, as_of), batch)
 
 
 def compact(tables: Tables, names: tuple[str, ...] = tuple(REPORTS)) -> None:

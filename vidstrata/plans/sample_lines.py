@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidstrata.operators.keys import spread_small
 from vidstrata.plans import binding
 
 INPUT = {
@@ -99,7 +98,6 @@ def lines(spark: SparkSession, sf_dir: str, dialect: str = "daily") -> DataFrame
     rows = binding.video_source(spark, sf_dir).selectExpr(
         *[f"{form} AS {name}" for name, form in INPUT.items()]
     )
-    rows = spread_small(rows, binding.table(spark, sf_dir, "orders"))
     rows = rows.withColumn("body", F.expr(_members(DAILY_BODY if daily else EXTENDED_BODY)))
     whole = (DAILY_TOP if daily else EXTENDED_TOP) | {
         "object": DAILY_OBJECT if daily else EXTENDED_OBJECT

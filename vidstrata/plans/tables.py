@@ -4,17 +4,21 @@ Layout: ``<root>/<table>/v=<version>/batch=<name>[/yyyymm=<month>]/*.parquet`` a
 ``<root>/commits``. Two kinds of write, both safe to repeat after a crash:
 
 - ``append`` writes one named batch. A repeat of the same batch overwrites its folder, so rows are
-  never stored twice; once committed the batch is not written again. Readers see committed batches
-  only. (The streaming view reads bronze files as they appear: repeat a cut-off append first.)
+  never stored twice; once committed the batch is not written again, under this version or a later
+  one. Readers see committed batches only.
 - ``replace`` writes complete new versions of one or more tables and then commits them together by
   one row file. Until then readers see the old versions of all of them.
 
-Watermarks travel in the commit rows, so they can not run ahead of the data.
+Both may write tables derived from the ones just written, and commit all of them together. A commit can
+also name batches that its rows take in without a folder of their own (``folded``): those count as there.
+Watermarks travel in the commit rows, so they can not run ahead of the data. Commits are numbered; one
+job at a time may write to a root.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -25,7 +29,9 @@ from pyspark.sql import functions as F
 from vidstrata import schemas
 from vidstrata.functions.datetimes import month_key
 
-COMMITS = "table string, version int, batch string, watermark string, committed_at timestamp"
+COMMITS = (
+    "table string, version int, batch string, watermark string, number bigint, folded boolean, committed_at timestamp"
+)
 
 # Per table: columns that rows are sorted by inside a file, and the date its months come from.
 SORT_KEYS = {
@@ -78,50 +84,46 @@ class Tables:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], COMMITS)
+            return self.spark.createDataFrame([], COMMITS).limit(0)  # of size 0 to the optimizer
 
-    def note(self, name: str, batch: str) -> None:
-        """A commit row without data, for jobs that must know how far an earlier run came."""
-        self._commit([(name, self.version(name), batch, None)])
-
-    def _commit(self, rows: list[tuple]) -> None:
+    def _commit(self, rows: list[tuple], folded: dict[str, DataFrame] | None = None) -> None:
+        """One file with a row (table, version, batch, watermark) for each table, and the folded names."""
+        number = (self.commits().agg(F.max("number")).first()[0] or 0) + 1
         now = dt.datetime.now(dt.timezone.utc)
-        df = self.spark.createDataFrame([(*row, now) for row in rows], COMMITS)
+        df = self.spark.createDataFrame([(*row, number, False, now) for row in rows], COMMITS)
+        for name, batches in (folded or {}).items():
+            own = {"table": name, "version": dict((r[0], r[1]) for r in rows)[name], "number": number, "committed_at": now}
+            more = batches.select("batch", F.lit(True).alias("folded"), *[F.lit(v).alias(c) for c, v in own.items()])
+            df = df.unionByName(more.withColumn("watermark", F.lit(None).cast("string")))
         df.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def version(self, name: str) -> int:
         return self._standing([name])[name][0]
 
-    def last_batch(self, name: str) -> str | None:
-        rows = self.commits().where(F.col("table") == name)
-        return rows.agg(F.max_by("batch", "committed_at")).first()[0]
+    def holds(self, name: str, batch: str) -> bool:
+        return self._standing([name], batch)[name][1]
+
+    def batches(self, name: str, current: bool = False) -> DataFrame:
+        """(batch): all names ever committed, or those with a folder in the current version."""
+        log = self.commits().where(F.col("table") == name)
+        if current:
+            log = log.where((F.col("version") == self.version(name)) & ~F.col("folded"))
+        return log.select("batch").distinct()
 
     def _standing(self, names: list[str], batch: str | None = None) -> dict[str, tuple[int, bool]]:
-        """Per table its version, and whether that version holds the batch already."""
+        """Per table its version, and whether the batch was ever committed.
+
+        A later version was made from the ones before it, so it holds their batches.
+        """
         rows = self.commits().where(F.col("table").isin(names)).groupBy("table").agg(
-            F.max("version").alias("version"),
-            F.max(F.when(F.col("batch") == F.lit(batch), F.col("version"))).alias("holds"),
+            F.max("version").alias("version"), F.max(F.col("batch") == F.lit(batch)).alias("holds")
         )
-        found = {row["table"]: row for row in rows.collect()}
-        return {
-            name: (found[name]["version"], found[name]["holds"] == found[name]["version"])
-            if name in found
-            else (0, False)
-            for name in names
-        }
-
-    def note(self, name: str, batch: str) -> None:
-        """A commit row without data, for jobs that must know how far an earlier run came."""
-        self._commit([(name, self.version(name), batch, None)])
-
-    def _commit(self, rows: list[tuple]) -> None:
-        now = dt.datetime.now(dt.timezone.utc)
-        df = self.spark.createDataFrame([(*row, now) for row in rows], COMMITS)
-        df.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        found = {row["table"]: (row["version"], bool(row["holds"])) for row in rows.collect()}
+        return {name: found.get(name, (0, False)) for name in names}
 
     def watermark(self, name: str) -> str | None:
         rows = self.commits().where((F.col("table") == name) & F.col("watermark").isNotNull())
-        return rows.agg(F.max_by("watermark", "committed_at")).first()[0]
+        return rows.agg(F.max_by("watermark", "number")).first()[0]
 
     # --- reading -------------------------------------------------------------------------------
 
@@ -133,19 +135,19 @@ class Tables:
         columns = schemas.TABLES[name] | {"batch": "string"}
         if name in MONTH_OF:
             columns = columns | {"yyyymm": "string"}
-        # one row per load, the table's history
-        log = self.commits().where(F.col("table") == name).select("version", "batch").collect()
-        if not log:
-            return self.spark.createDataFrame([], schemas.ddl(columns))
-        version = max(row["version"] for row in log)
-        batches = sorted({row["batch"] for row in log if row["version"] == version})
-        stored = self.spark.read.schema(schemas.ddl(columns)).parquet(self.path(name, version))
-        return stored.where(F.col("batch").isin(batches))
-
-    def read(self, name: str, without_batch: str | None = None) -> DataFrame:
+        if self.batches(name).isEmpty():
+            return self.spark.createDataFrame([], schemas.ddl(columns)).limit(0)
+        stored = self.spark.read.schema(schemas.ddl(columns)).parquet(self.path(name))
+        # a row per load; the folders read are chosen by it when the query runs
+        return stored.join(F.broadcast(self.batches(name, current=True)), "batch", "left_semi")
+
+    def read(self, name: str, without_batch: str | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The table, without one batch, or only the committed batches named (``batch``)."""
         df = self._stored(name)
         if without_batch is not None:
             df = df.where(F.col("batch") != without_batch)
+        if only is not None:
+            df = df.join(F.broadcast(only), "batch", "left_semi")
         return df.select(*schemas.TABLES[name])
 
     def read_batch(self, name: str, batch: str) -> DataFrame:
@@ -192,23 +194,45 @@ class Tables:
             target = inheritable_thread_target(self.spark)(write)
             return dict(zip(new, pool.map(target, new)))
 
+    def _write_and_commit(self, new, versions, batch, watermark_of, then, folded, empty) -> dict[str, int]:
+        written = self._write_all(new, versions, batch, watermark_of) if new else {}
+        if then and new:
+            more = then({name: self._written(name, versions[name], batch) for name in new})
+            more = {name: df for name, df in more.items() if name in versions}
+            written |= self._write_all(more, versions, batch, None) if more else {}
+        folded = {name: names for name, names in (folded or {}).items() if name in written}
+        commits = [
+            (name, versions[name], batch, mark)
+            for name, (rows, mark) in written.items()
+            if rows or empty or name in folded
+        ]
+        if commits:
+            self._commit(commits, folded)
+        return {name: rows for name, (rows, _) in written.items()}
+
+    def _written(self, name: str, version: int, batch: str) -> DataFrame:
+        path = f"{self.path(name, version)}/batch={batch}"
+        return self.spark.read.schema(schemas.ddl(schemas.TABLES[name])).parquet(path)
+
     def append_all(
-        self, new: dict[str, DataFrame], batch: str, watermark_of: str | None = None
+        self,
+        new: dict[str, DataFrame],
+        batch: str,
+        watermark_of: str | None = None,
+        then: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
+        derived: tuple[str, ...] = (),
+        folded: dict[str, DataFrame] | None = None,
     ) -> dict[str, int]:
         """Store one batch of each table and return the row counts.
 
-        A batch that is there already is skipped; 0 rows leave no commit and no watermark.
+        A batch that is there already is skipped; 0 rows leave no commit and no watermark, unless they
+        fold names. ``then`` gives the tables ``derived`` from what was written.
         """
-        standing = self._standing(list(new), batch)
+        standing = self._standing([*new, *derived], batch)
         todo = {name: df for name, df in new.items() if not standing[name][1]}
-        versions = {name: standing[name][0] for name in todo}
-        written = self._write_all(todo, versions, batch, watermark_of) if todo else {}
-        commits = [
-            (name, versions[name], batch, mark) for name, (rows, mark) in written.items() if rows
-        ]
-        if commits:
-            self._commit(commits)
-        return {name: written[name][0] if name in written else 0 for name in new}
+        versions = {name: version for name, (version, held) in standing.items() if not held}
+        written = self._write_and_commit(todo, versions, batch, watermark_of, then, folded, False)
+        return {name: written.get(name, 0) for name in new}
 
     def append(
         self, name: str, df: DataFrame, batch: str, watermark_of: str | None = None
@@ -216,28 +240,33 @@ class Tables:
         return self.append_all({name: df}, batch, watermark_of)[name]
 
     def replace(
-        self, new: dict[str, DataFrame], batch: str = "base", watermark_of: str | None = None
+        self,
+        new: dict[str, DataFrame],
+        batch: str = "base",
+        watermark_of: str | None = None,
+        then: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
+        derived: tuple[str, ...] = (),
+        folded: dict[str, DataFrame] | None = None,
     ) -> dict[str, int]:
-        """New complete versions of the given tables, visible together."""
-        standing = self._standing(list(new))
-        versions = {name: standing[name][0] + 1 for name in new}
-        written = self._write_all(new, versions, batch, watermark_of)
-        self._commit([(name, versions[name], batch, mark) for name, (_, mark) in written.items()])
-        return {name: rows for name, (rows, _) in written.items()}
+        """New complete versions of the given tables and those derived from them, visible together."""
+        versions = {name: at + 1 for name, (at, _) in self._standing([*new, *derived]).items()}
+        return self._write_and_commit(new, versions, batch, watermark_of, then, folded, True)
 
     # --- catalog -------------------------------------------------------------------------------
 
     def register(self) -> None:
-        """Create the tables in the session's catalog, where absent, over the current folders."""
+        """Views of the tables in the session's catalog, by layer; they always show what is committed."""
         for layer in ("bronze", "silver", "gold"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         for name, columns in schemas.TABLES.items():
             layer, _, short = name.partition("_")
             target = f"{layer}.{short}" if layer in ("bronze", "silver", "gold") else name
-            columns = schemas.ddl(columns)
-            partitions = "batch string, yyyymm string" if name in MONTH_OF else "batch string"
-            names = ", ".join(part.split()[0] for part in partitions.split(", "))
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {target} ({columns}, {partitions}) USING parquet "
-                f"PARTITIONED BY ({names}) LOCATION '{self.path(name)}'"
-            )
+            if self.batches(name).isEmpty():
+                cells = ", ".join(f"CAST(NULL AS {kind}) AS `{c}`" for c, kind in columns.items())
+                query = f"SELECT {cells} WHERE false"
+            else:
+                log = f"(SELECT * FROM parquet.`{self.root}/commits` WHERE table = '{name}')"
+                query = f"""SELECT {", ".join(f"`{c}`" for c in columns)} FROM parquet.`{self.root}/{name}`
+                    WHERE v = (SELECT max(version) FROM {log}) AND CAST(batch AS string) IN (
+                      SELECT batch FROM {log} WHERE NOT folded AND version = (SELECT max(version) FROM {log}))"""
+            self.spark.sql(f"CREATE OR REPLACE VIEW {target} AS {query}")

@@ -30,7 +30,6 @@ STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 # Input is compressed columns or text, so this is some 200 MB of rows in a task's memory.
 BYTES_PER_SHUFFLE_PARTITION = 64 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -58,7 +57,7 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
     estimate of a join is far too high.
     """
     size = sum(estimated_bytes(df) or 0 for df in inputs)
-    wanted = min(-(-size // BYTES_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
+    wanted = -(-size // BYTES_PER_SHUFFLE_PARTITION)
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, own)))
 
@@ -79,3 +78,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, wherever it lies."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

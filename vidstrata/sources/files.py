@@ -58,13 +58,17 @@ def instant(moment: dt.datetime | str) -> Column:
     return F.lit(utc(moment).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
-def modified_between(modified: Column, since, until=None) -> Column:
-    """``since`` belongs to the interval, ``until`` does not."""
-    inside = modified >= instant(since)
-    return inside if until is None else inside & (modified < instant(until))
+def modified_between(modified: Column, since=None, until=None) -> Column:
+    """``since`` belongs to the interval, ``until`` does not; a bound that is None does not bind."""
+    inside = F.lit(True)
+    if since is not None:
+        inside = inside & (modified >= instant(since))
+    if until is not None:
+        inside = inside & (modified < instant(until))
+    return inside
 
 
-def modified_since(spark: SparkSession, root: str, since, until=None, suffix=".json") -> DataFrame:
+def modified_since(spark: SparkSession, root: str, since=None, until=None, suffix=".json") -> DataFrame:
     files = list_files(spark, root, suffix)
     return files.where(modified_between(F.col("modified"), since, until))
 

@@ -34,7 +34,7 @@ def read_lines(
     """Lines of all files under ``root``, each with its origin.
 
     Files outside ``[since, until)`` are dropped while the files are listed, so a growing archive
-    is not read again.
+    is not read again. Either bound may be left out.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
     if since is not None:
@@ -42,8 +42,13 @@ def read_lines(
         early = files.utc(since) - dt.timedelta(seconds=1)
         reader = reader.option("modifiedAfter", early.strftime("%Y-%m-%dT%H:%M:%S"))
         reader = reader.option("timeZone", "UTC")
+    if until is not None:
+        # exclusive and in whole seconds as well: end with the second that until lies in
+        late = files.utc(until) + dt.timedelta(seconds=1)
+        reader = reader.option("modifiedBefore", late.strftime("%Y-%m-%dT%H:%M:%S"))
+        reader = reader.option("timeZone", "UTC")
     lines = reader.text(root)
-    if since is not None:
+    if since is not None or until is not None:
         modified = F.col("_metadata.file_modification_time")
         lines = lines.where(files.modified_between(modified, since, until))
     return numbered(with_origin(lines))

@@ -1,83 +1,85 @@
 """The silver table as an insert-triggered view over bronze.
 
-New video rows are joined with the channels known at that moment and appended. A channel that
+New video batches are joined with the channels known at that moment and appended. A channel that
 arrives later adds nothing to videos that went before it; ``rebuild`` gives the complete join.
 The first run takes all videos present, which is the view's backfill.
+
+What is new is told by the commit log: batches of bronze whose names silver has not taken in. Rows of
+bronze that are not committed are never seen. Silver and gold are committed together, so a crash at any
+point leaves both as they were.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from vidstrata import schemas
 from vidstrata.operators.silver import silver_events
 from vidstrata.plans import gold
 from vidstrata.plans.tables import Tables
 from vidstrata.session import size_shuffles
-from vidstrata.streaming.intake import run_available
-
-REBUILDING = "rebuilding"
 
 
-def refresh(
-    tables: Tables, as_of=None, with_gold: bool = True, files_per_batch: int = 10_000
-) -> int:
+def refresh(tables: Tables, as_of=None, with_gold: bool = True) -> int:
     """Join the new bronze videos into silver and, unless told not to, add them to gold.
 
-    The channels are read again for every batch. A batch that is repeated after a crash keeps its
-    number, and so its folder, and changes nothing. Bronze replaced as a whole, or a rebuild that
-    was cut off, leads to a rebuild. Returns the number of rows added.
+    Bronze replaced as a whole leads to a rebuild. Returns the number of rows added.
     """
     source = tables.version("bronze_videos")
-    last = tables.last_batch("silver_events")
-    if last is not None and _source_of(last) != source:
+    if tables.batches("bronze_videos").isEmpty():
+        return 0
+    if _newest_source(tables) not in (None, source):
         return rebuild(tables, as_of, with_gold)
-    added = 0
-    # the stream's session is a copy made when it starts, so this holds for all its batches
-    size_shuffles(tables.spark, tables.read("bronze_videos"))
-
-    def add(batch: DataFrame, number: int) -> None:
-        nonlocal added
-        name = f"s{source}-{number:08d}"
-        events = silver_events(batch, tables.read("bronze_channels"))
-        added += tables.append("silver_events", events, name)
-        if with_gold:
-            gold.refresh_append(tables, tables.read_batch("silver_events", name), name, as_of)
-
-    _run(tables, source, add, files_per_batch)
-    return added
+    taken = tables.batches("silver_events")
+    # the name under which silver takes in a batch of this version of bronze
+    named = tables.batches("bronze_videos", current=True).withColumn("of", _name(source, F.col("batch")))
+    pending = named.join(taken.withColumnRenamed("batch", "of"), "of", "left_anti")
+    if pending.isEmpty():
+        return 0
+    videos = tables.read("bronze_videos", only=pending.select("batch"))
+    size_shuffles(tables.spark, videos)
+    events = silver_events(videos, tables.read("bronze_channels"))
+    number = tables.commits().agg(F.max("number")).first()[0]
+    added = tables.append_all(
+        {"silver_events": events},
+        f"s{source}-upto-{number:012d}",
+        folded={"silver_events": pending.select(F.col("of").alias("batch"))},
+        **_gold(as_of, with_gold),
+    )
+    return added["silver_events"]
 
 
 def rebuild(tables: Tables, as_of=None, with_gold: bool = True) -> int:
-    """Silver and gold anew from all of bronze: late channels get their earlier videos.
-
-    The stream is moved past the videos present first, so that no later refresh adds them again.
-    Nothing may append to bronze meanwhile.
-    """
+    """Silver and gold anew from all of bronze: late channels get their earlier videos."""
     source = tables.version("bronze_videos")
-    tables.note("silver_events", REBUILDING)
-    _run(tables, source, lambda batch, number: None, files_per_batch=1_000_000)
-    videos, channels = tables.read("bronze_videos"), tables.read("bronze_channels")
+    present = tables.batches("bronze_videos", current=True)
+    videos = tables.read("bronze_videos", only=present)
+    channels = tables.read("bronze_channels")
     size_shuffles(tables.spark, videos, channels)
-    batch = f"s{source}-rebuilt"
-    rows = tables.replace({"silver_events": silver_events(videos, channels)}, batch)
-    if with_gold:
-        gold.refresh_full(tables, as_of, batch)
+    rows = tables.replace(
+        {"silver_events": silver_events(videos, channels)},
+        f"s{source}-rebuilt",
+        folded={"silver_events": present.select(_name(source, F.col("batch")).alias("batch"))},
+        **_gold(as_of, with_gold),
+    )
     return rows["silver_events"]
 
 
-def _source_of(batch: str) -> int | None:
-    """Version of bronze a silver batch was made from; None for a rebuild that was cut off."""
-    return None if batch == REBUILDING else int(batch[1:].split("-")[0])
+def _name(source: int, batch):
+    return F.concat(F.lit(f"s{source}-of-"), batch)
 
 
-def _run(tables: Tables, source: int, each, files_per_batch: int) -> None:
-    if tables.commits().where("table = 'bronze_videos'").isEmpty():
-        return
-    videos = (
-        tables.spark.readStream.schema(schemas.ddl(schemas.BRONZE_VIDEOS))
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(tables.path("bronze_videos", source))
-    )
-    run_available(videos, each, f"{tables.root}/checkpoints/silver_events/source={source}")
+def _newest_source(tables: Tables) -> int | None:
+    """Version of bronze that silver was made from, None if there is no silver yet."""
+    made = tables.batches("silver_events").select(F.regexp_extract("batch", r"^s(\d+)-", 1).alias("source"))
+    return made.agg(F.max(F.when(F.col("source") != "", F.col("source")).cast("int"))).first()[0]
+
+
+def _gold(as_of, with_gold: bool) -> dict:
+    if not with_gold:
+        return {}
+
+    def then(written: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return gold.states(written["silver_events"], as_of)
+
+    return {"then": then, "derived": gold.NAMES}
