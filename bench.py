@@ -30,6 +30,10 @@ HEADLINE = (
     "normalize_extended",
     "channel_upsert",
     "dedup_first_seen",
+    "append_documents",
+    "csv_daily_load",
+    "silver_stream",
+    "compact_then_replay",
     "quality_violations",
     "time_increment",
     "lenient_timestamps",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -15,7 +16,10 @@ from vidstrata.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = build_session(
+        master="local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="catalog-")},
+    )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     for name in names:

@@ -18,6 +18,8 @@ from vidstrata.operators import audit, increments, quality, upsert
 from vidstrata.operators import normalize as n
 from vidstrata.operators import reports as r
 from vidstrata.operators.keys import first_by_key, unseen
+from vidstrata.operators.silver import silver_events as joined_events
+from vidstrata.operators.states import Distinct
 from vidstrata.plans import binding, daily_run, gold, sample_lines
 from vidstrata.plans.tables import Tables
 from vidstrata.session import size_shuffles, tune, work_dir
@@ -346,6 +348,22 @@ def json_lines_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def json_lines_rejects(spark, sf_dir):
+    """Refused lines of the same conversion, by reason."""
+    root = work_dir(spark, "convert")
+    sample_lines.lines(spark, sf_dir, "extended").select("value").write.text(f"{root}/in")
+    json_lines.convert(spark, f"{root}/in", f"{root}/out", f"{root}/rejects")
+    refused = spark.read.schema("source string, raw string, reason string").json(f"{root}/rejects")
+    return refused.groupBy("reason").agg(F.count("raw").alias("n"))
+
+
+@query
+def columns_by_position(spark, sf_dir):
+    """The second, first and fourth column of the customers."""
+    return channel_csv.cut_columns(binding.table(spark, sf_dir, "customer"), 2, 1, 4)
+
+
 # --- discovery -------------------------------------------------------------------------------------
 
 
@@ -398,9 +416,29 @@ def files_modified_since(spark, sf_dir):
     both = found.withColumn("since", F.lit("epoch")).unionByName(
         later.withColumn("since", F.lit("future"))
     )
-    return both.select(
+    # a file the listing lost would be missing in the lines of its folder
+    lines = json_lines.read_lines(spark, root).groupBy("source_path").agg(F.count("*").alias("lines"))
+    both = both.join(lines, F.col("path") == F.col("source_path"))
+    return both.groupBy(
         F.split("key", "/")[0].alias("folder"), F.split("key", "/")[1].alias("part"), "since"
-    ).distinct()
+    ).agg(F.sum("lines").alias("lines"))
+
+
+@query
+def files_interval(spark, sf_dir):
+    """Lines of three drops of known age, by the bounds that the reader is given."""
+    root = work_dir(spark, "interval")
+    times = {"old": 1_600_000_000, "middle": 1_700_000_000, "new": 1_800_000_000}
+    documents = binding.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    drop = F.element_at(F.array(*map(F.lit, times)), (F.col("doc_id") % 3 + 1).cast("int"))
+    documents.withColumn("drop", drop).write.partitionBy("drop").json(root)
+    for row in files.list_files(spark, root).select("path", "key").toLocalIterator():
+        age = times[row["key"].split("/")[0].removeprefix("drop=")]
+        where = spark._jvm.org.apache.hadoop.fs.Path(row["path"])
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(where, age * 1000, -1)
+    since, until = (dt.datetime.fromtimestamp(times[name], dt.timezone.utc) for name in ("middle", "new"))
+    slices = {"neither": (None, None), "since": (since, None), "until": (None, until), "both": (since, until)}
+    return audit.stage_counts(**{name: json_lines.read_lines(spark, root, *bounds) for name, bounds in slices.items()})
 
 
 @query
@@ -589,10 +627,22 @@ def snapshot_reload(spark, sf_dir):
 
 @query
 def unseen_keys(spark, sf_dir):
-    """Customers without an order."""
+    """Customers without an urgent order."""
     customers = binding.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = binding.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return unseen(customers, orders, ["c_custkey"])
+    orders = binding.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return unseen(customers, orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+@query
+def approximate_distinct(spark, sf_dir):
+    """Distinct parts by return flag: exact, and whether merged sketches come within 2 %."""
+    rows = binding.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", "l_partkey")
+    parts = rows.groupBy("l_returnflag", "l_linenumber").agg(Distinct.partial(F.col("l_partkey")).alias("state"))
+    merged = parts.groupBy("l_returnflag").agg(Distinct.merge(F.col("state")).alias("state"))
+    estimated = merged.select("l_returnflag", Distinct.final(F.col("state")).alias("estimate"))
+    exact = rows.groupBy("l_returnflag").agg(Distinct.exact(F.col("l_partkey")).alias("n"))
+    near = F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * 0.02
+    return exact.join(estimated, "l_returnflag").select("l_returnflag", "n", near.alias("near"))
 
 
 # --- the stored pipeline ---------------------------------------------------------------------------
@@ -629,7 +679,75 @@ def silver_rebuilt(spark, sf_dir):
     return gold.report(tables, "channel_growth")
 
 
-def _daily_runs(spark, sf_dir, times: int) -> tuple[Tables, DataFrame]:
+@query
+def silver_after_cut_append(spark, sf_dir):
+    """An append cut off before its commit is not seen, and is taken in once when it is repeated."""
+    tables = new_tables(spark)
+    videos = binding.videos(spark, sf_dir)
+    early = F.col("created_at") < CREATED_CUTS[1]
+    tables.append("bronze_channels", binding.channels(spark, sf_dir), "one")
+    tables.append("bronze_videos", videos.where(early), "one")
+    tables._write("bronze_videos", videos.where(~early), 0, "two", None)  # and no commit
+    silver_view.refresh(tables, AS_OF, with_gold=False)
+    tables.append("bronze_videos", videos.where(~early), "two")
+    silver_view.refresh(tables, AS_OF, with_gold=False)
+    return tables.read("silver_events").select("video_id", "channel_id", "channel_username")
+
+
+@query
+def rebuild_after_crash(spark, sf_dir):
+    """A rebuild cut off before its commit changes nothing; repeated, gold has the late channels."""
+    tables = new_tables(spark)
+    channels, videos = binding.channels(spark, sf_dir), binding.videos(spark, sf_dir)
+    tables.append("bronze_channels", channels.where(F.col("created_at") < CHANNEL_CUT), "one")
+    tables.append("bronze_videos", videos, "one")
+    silver_view.refresh(tables, AS_OF)
+    tables.append("bronze_channels", channels.where(F.col("created_at") >= CHANNEL_CUT), "two")
+    events = joined_events(tables.read("bronze_videos"), tables.read("bronze_channels"))
+    for name, rows in {"silver_events": events, **gold.states(events, AS_OF)}.items():
+        tables._write(name, rows.limit(3), 1, "s0-rebuilt", None)  # part of the rows, and no commit
+    silver_view.refresh(tables, AS_OF)
+    silver_view.rebuild(tables, AS_OF)
+    return gold.report(tables, "channel_growth")
+
+
+@query
+def compact_then_replay(spark, sf_dir):
+    """Two batches of states, folded, and the first one once more."""
+    tables = new_tables(spark)
+    events = binding.silver(spark, sf_dir)
+    first = (F.col("video_id").cast("bigint") % 2) == 0
+    gold.refresh_append(tables, events.where(first), "one", AS_OF)
+    gold.refresh_append(tables, events.where(~first), "two", AS_OF)
+    gold.compact(tables)
+    gold.refresh_append(tables, events.where(first), "one", AS_OF)
+    return r.TOP_CHANNELS.finish(tables.read("gold_top_channels"))
+
+
+@query
+def catalog_tables(spark, sf_dir):
+    """Rows of the tables by name, after appends, a replacement and a compaction."""
+    tables = new_tables(spark)
+    channels, videos = binding.channels(spark, sf_dir), binding.videos(spark, sf_dir)
+    early = F.col("created_at") < CHANNEL_CUT
+    tables.append("bronze_channels", channels.where(early), "one")
+    tables.append("bronze_channels", channels.where(~early), "two")
+    tables.replace({"bronze_videos": videos.limit(0)})
+    tables.replace({"bronze_videos": videos})
+    silver_view.refresh(tables, AS_OF)
+    gold.compact(tables)
+    tables.register()
+    names = ("bronze.channels", "bronze.videos", "silver.events", "gold.channel_growth", "documents")
+    found = audit.stage_counts(**{name: spark.table(name) for name in names})
+    # the views are resolved; the session's catalog is left as it was
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {layer} CASCADE")
+    for name in ("documents", "channels", "csv_files", "rejects", "run_audit"):
+        spark.sql(f"DROP VIEW {name}")
+    return found
+
+
+def _daily_runs(spark, sf_dir, times: int) -> tuple[Tables, DataFrame, daily_run.Run]:
     """Raw lines and channel CSV (one row per customer) taken in by the same run, repeated."""
     tables, root = new_tables(spark), work_dir(spark, "daily")
     sample_lines.lines(spark, sf_dir).select("value").write.text(f"{root}/json")
@@ -647,19 +765,16 @@ def _daily_runs(spark, sf_dir, times: int) -> tuple[Tables, DataFrame]:
     )
     for _ in range(times):
         rows = daily_run.run(spark, tables.root, run)
-    return tables, rows
+    return tables, rows, run
 
 
 @query
 def run_audit_counts(spark, sf_dir):
-    tables, _ = _daily_runs(spark, sf_dir, 1)
+    tables, _, _ = _daily_runs(spark, sf_dir, 1)
     return tables.read("run_audit").select("stage", "status", "rows_out", "rows_rejected")
 
 
-@query
-def backfill_rerun(spark, sf_dir):
-    """The same run three times: tables as after the first."""
-    tables, _ = _daily_runs(spark, sf_dir, 3)
+def _stored_counts(tables: Tables) -> DataFrame:
     stages = {
         name: tables.read(name)
         for name in ("documents", "rejects", "channels", "bronze_videos", "bronze_channels")
@@ -668,3 +783,18 @@ def backfill_rerun(spark, sf_dir):
     states = tables.read("gold_content_popularity")
     stages["tag_occurrences"] = states.select(F.explode(F.sequence(F.lit(1), "video_count")))
     return audit.stage_counts(**stages)
+
+
+@query
+def backfill_rerun(spark, sf_dir):
+    """The same run three times: tables as after the first."""
+    return _stored_counts(_daily_runs(spark, sf_dir, 3)[0])
+
+
+@query
+def reload_then_rerun(spark, sf_dir):
+    """A run, a full reload of the videos, and the same run again: nothing counts twice."""
+    tables, _, run = _daily_runs(spark, sf_dir, 1)
+    daily_run.reload_videos(tables)
+    daily_run.run(spark, tables.root, run)
+    return _stored_counts(tables)

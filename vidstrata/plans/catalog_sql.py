@@ -334,6 +334,8 @@ SQL = {
             THEN strftime(created, '%Y-%m-%dT%H:%M:%S')
             ELSE strftime(created, '%Y-%m-%dT%H:%M:%S.%f') END AS created_at, update_count
         FROM documents_ok""",
+    "json_lines_rejects": f"""{EXTENDED}
+        SELECT reason, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY 1""",
     "path_date_filter": f"""WITH {KEYS}, dated AS (
         SELECT event_id, CASE WHEN event_id % 10 IN (0, 2, 3) THEN NULL ELSE made END AS made
         FROM keys)
@@ -345,8 +347,15 @@ SQL = {
         SELECT key AS file_name, user_id % 2 = 0 OR event_id % 2 = 0 AS inserted
         FROM keys WHERE user_id % 3 = 0 OR user_id % 2 = 0""",
     "files_modified_since": """
-        SELECT DISTINCT 'docs' AS folder, 'source=' || source AS part, 'epoch' AS since
-        FROM documents""",
+        SELECT 'docs' AS folder, 'source=' || source AS part, 'epoch' AS since, count(*) AS lines
+        FROM documents GROUP BY source""",
+    "files_interval": """
+        SELECT * FROM (VALUES
+          ('neither', (SELECT count(*) FROM documents)),
+          ('since', (SELECT count(*) FROM documents WHERE doc_id % 3 > 0)),
+          ('until', (SELECT count(*) FROM documents WHERE doc_id % 3 < 2)),
+          ('both', (SELECT count(*) FROM documents WHERE doc_id % 3 = 1))
+        ) AS t(stage, n)""",
     "files_once_only": "SELECT doc_id, lang, n_chars FROM documents",
     "channel_upsert": upserted("TRUE"),
     "channel_upsert_ids": f"""{WITH_CHANNELS}, {EVENT_CHANNELS}, names AS (
@@ -392,11 +401,26 @@ SQL = {
           {moment("coalesce(created, TIMESTAMP '1970-01-01')")} AS created_at FROM documents_ok""",
     "unseen_keys": """
         SELECT c_custkey, c_name FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)""",
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL
+            AND o_orderpriority = '1-URGENT')""",
+    "approximate_distinct": """
+        SELECT l_returnflag, count(DISTINCT l_partkey) AS n, TRUE AS near FROM lineitem GROUP BY 1""",
+    "columns_by_position": "SELECT c_name, c_custkey, c_acctbal FROM customer",
     "silver_stream": f"""{WITH_SILVER}
         SELECT video_id, channel_id, channel_username FROM silver
         WHERE video_created_at >= DATE '1999-07-01' OR channel_created_at < DATE '2025-04-01'""",
     "silver_rebuilt": GROWTH,
+    "silver_after_cut_append": f"{WITH_SILVER} SELECT video_id, channel_id, channel_username FROM silver",
+    "rebuild_after_crash": GROWTH,
+    "compact_then_replay": TOP,
+    "catalog_tables": f"""{WITH_SILVER}
+        SELECT * FROM (VALUES
+          ('bronze.channels', (SELECT count(*) FROM channels)),
+          ('bronze.videos', (SELECT count(*) FROM videos)),
+          ('silver.events', (SELECT count(*) FROM silver)),
+          ('gold.channel_growth', (SELECT count(*) FROM (SELECT DISTINCT channel_username, {day('channel_created_at')} FROM silver))),
+          ('documents', 0)
+        ) AS t(stage, n)""",
     "run_audit_counts": f"""{DAILY_SILVER}
         SELECT * FROM (VALUES
           ('documents', 'success', (SELECT count(*) FROM documents_ok),
@@ -418,3 +442,4 @@ SQL = {
             FROM silver))
         ) AS t(stage, n)""",
 }
+SQL["reload_then_rerun"] = SQL["backfill_rerun"]

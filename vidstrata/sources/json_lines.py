@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidstrata.operators import normalize as n
+from vidstrata.session import remove_folder, work_dir
 from vidstrata.sources import files
 
 # Columns that put lines in the order they have in their files. Files are ordered by path; within a
@@ -61,7 +62,10 @@ def write_lines(documents: DataFrame, path: str) -> None:
 
 def convert(spark: SparkSession, source: str, target: str, rejects: str | None = None) -> None:
     """Extended-JSON export to normalised JSON lines; refused lines go to ``rejects`` only."""
-    normalized = n.normalize(read_lines(spark, source, suffix=""), "extended")
+    staging = work_dir(spark, "convert")
+    n.normalize(read_lines(spark, source, suffix=""), "extended").write.parquet(staging)
+    normalized = spark.read.parquet(staging)  # parsed once for both
     write_lines(n.export_json(n.accepted(normalized)), target)
     if rejects:
         n.rejected(normalized).write.mode("overwrite").json(rejects)
+    remove_folder(spark, staging)
