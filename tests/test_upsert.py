@@ -98,3 +98,27 @@ def test_split_rows(spark):
     assert good.count() == 1
     assert sorted(r["rule"] for r in bad.collect()) == [
         "total_video_visit >= 0", "username not null", "video_count >= 0"]
+
+
+def test_one_scan_of_the_channels_and_one_join(spark, tmp_path):
+    """What is staged reads each side once; the rest reads only what was staged."""
+    import datetime as dt
+
+    known = [(1, "u1", 1, 1, 0, 1, "X", dt.datetime(2025, 1, 1), 0)]
+    spark.createDataFrame(known, schemas.ddl(schemas.CHANNELS)).write.parquet(str(tmp_path / "channels"))
+    drops = [("u1", dt.datetime(2025, 2, 1), 1), ("new", dt.datetime(2025, 2, 2), 2)]
+    spark.createDataFrame(drops, "username string, created_at timestamp, i int").write.parquet(str(tmp_path / "drops"))
+    plans = []
+
+    def stage(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(str(tmp_path / "merged"))
+        return spark.read.parquet(str(tmp_path / "merged"))
+
+    channels, rows = (spark.read.parquet(str(tmp_path / name)) for name in ("channels", "drops"))
+    after = upsert_channels(channels, rows, ("i",), stage)
+    assert plans[0].count("FileScan parquet") == 2 and plans[0].count("Join") == 1
+    rest = after._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "channels") not in rest and str(tmp_path / "drops") not in rest
+    got = {r["username"]: (r["id"], r["update_count"]) for r in after.collect()}
+    assert got == {"u1": (1, 1), "new": (2, 0)}

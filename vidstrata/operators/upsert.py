@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,25 +46,29 @@ def number_rows(rows: DataFrame, key: str, start: int | Column, buckets: int = I
 
 
 def upsert_channels(
-    channels: DataFrame, rows: DataFrame, order: tuple[str, ...] = ROW_ORDER
+    channels: DataFrame,
+    rows: DataFrame,
+    order: tuple[str, ...] = ROW_ORDER,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """The channel table after applying ``rows`` one by one in ``order``.
 
     A new username gets the default columns and one update for each repeat; a known one gets the
     last creation time and one update per row (an unknown update count stays unknown).
-    Both join sides have one row per username, so no username can be hot in the shuffle.
+    One full outer join, both sides with one row per username, so no username can be hot in the
+    shuffle. What follows it reads the join several times: give a ``stage`` that writes it down.
     """
-    folded = fold_rows(rows, order)
-    updated = channels.join(folded, "username", "left").withColumns(
+    known = channels.withColumn("_known", F.lit(True))
+    merged = stage(known.join(fold_rows(rows, order), "username", "full_outer"))
+    seen = F.col("_times").isNotNull()
+    updated = merged.where("_known").withColumns(
         {
-            "created_at": F.when(F.col("_times").isNull(), F.col("created_at")).otherwise(
-                F.col("_created_at")
-            ),
+            "created_at": F.when(seen, F.col("_created_at")).otherwise(F.col("created_at")),
             "update_count": F.col("update_count") + F.coalesce(F.col("_times"), F.lit(0)),
         }
     )
-    last_id = channels.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
-    unknown = folded.join(channels.select("username"), "username", "left_anti")
+    last_id = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
+    unknown = merged.where("_known IS NULL").select("username", "_times", "_created_at")
     fresh = number_rows(unknown, "username", last_id)
     defaults = {name: F.lit(value) for name, value in NEW_CHANNEL.items()}
     defaults["update_count"] = F.col("_times") - 1

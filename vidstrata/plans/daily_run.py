@@ -92,6 +92,7 @@ def reload_videos(tables: Tables) -> None:
 def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:
     """Upsert the due CSV drops and mark them; both become visible by one commit.
 
+    The drops are parsed once and the channel table is read once: both steps are written down.
     Only names of the due files reach the driver, where Spark's own file listing lives anyway.
     """
     ledger = tables.read("csv_files")
@@ -105,20 +106,29 @@ def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:
     )
     if not due:
         return Counts(0, 0, tables.append("rejects", bad, f"csv-{batch}"))
-    good, refused = channel_csv.daily_rows(
-        channel_csv.read_daily(tables.spark, [path for path, _ in sorted(due)])
-    )
     due_lines = tables.spark.read.text([path for path, _ in due])
     size_shuffles(tables.spark, tables.read("channels"), due_lines)
+    staging = f"{tables.root}/staging/channels/batch={batch}"
+
+    def stage(name: str):
+        def write(df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{staging}/{name}")
+            return tables.spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+        return write
+
+    drops = channel_csv.read_daily(tables.spark, [path for path, _ in sorted(due)])
+    good, refused = channel_csv.daily_rows(drops, stage("rows"))
     names = tables.spark.createDataFrame([(key,) for _, key in due], "key string")
     rejected = tables.append("rejects", bad.unionByName(refused), f"csv-{batch}")
     stored = tables.replace(
         {
-            "channels": upsert_channels(tables.read("channels"), good),
+            "channels": upsert_channels(tables.read("channels"), good, stage=stage("merged")),
             "csv_files": mark_files(ledger, names),
         },
         batch,
     )
+    remove_folder(tables.spark, staging)
     return Counts(rows_in=len(due), rows_out=stored["channels"], rows_rejected=rejected)
 
 

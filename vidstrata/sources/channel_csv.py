@@ -9,6 +9,7 @@ whole per file otherwise.
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,13 +116,15 @@ def read_daily(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def daily_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows, and the rows no channel can be made from."""
+def daily_rows(
+    rows: DataFrame, stage: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows, and the rows no channel can be made from; ``stage`` writes down what both share."""
     moment = F.coalesce(
         F.col("created_at").try_cast("timestamp"),
         F.try_to_timestamp("created_at", F.lit("y-M-d H:m:s")),
     )
-    typed = rows.withColumn("_moment", moment)
+    typed = stage(rows.withColumn("_moment", moment))
     reason = F.when(F.col("username").isNull(), "username").when(
         F.col("_moment").isNull(), "created_at"
     )
