@@ -129,7 +129,11 @@ class Encoder:
                 other.append(word)
         found = {}
         # a run of letters is one piece and ends with the only token that closes a piece
-        plain = list({x for x, _ in parts.values()})
+        letters_of = {x for x, _ in parts.values()}
+        for memory in (self.words, self.older):
+            met = letters_of.intersection(memory)
+            found.update(zip(met, map(memory.__getitem__, met), strict=True))
+        plain = list(letters_of.difference(found))
         some = [plain[a : a + 500] for a in range(0, len(plain), 500)]
         for letters, ids in zip(some, self.ids([" ".join(x) for x in some]), strict=True):
             ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.width).tolist()
