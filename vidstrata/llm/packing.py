@@ -119,17 +119,19 @@ class Encoder:
 
     def learn(self, new: set[str]) -> None:
         """Remember the ids of words not seen before."""
-        parts: dict[str, tuple[str, str]] = {}
-        other = []
+        bare, signed, other = [], [], []
         for word in new:
             letters = word.rstrip(SIGNS)
-            if letters.isalpha() and max(letters) < "\u0100":
-                parts[word] = letters.lower(), word[len(letters) :]
-            else:
+            if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0100"):
                 other.append(word)
+            elif len(letters) == len(word):
+                bare.append(word)
+            else:
+                signed.append((word, letters.lower(), word[len(letters) :]))
         found = {}
         # a run of letters is one piece and ends with the only token that closes a piece
-        letters_of = {x for x, _ in parts.values()}
+        lower = list(map(str.lower, bare))
+        letters_of = {*lower, *(letters for _, letters, _ in signed)}
         for memory in (self.words, self.older):
             met = letters_of.intersection(memory)
             found.update(zip(met, map(memory.__getitem__, met), strict=True))
@@ -139,11 +141,11 @@ class Encoder:
             ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.width).tolist()
             data = ids.tobytes()
             found.update(zip(letters, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        signs = list({x for _, x in parts.values()})
+        signs = list({sign for _, _, sign in signed})
         for sign, ids in zip(signs, self.ids(signs), strict=True):
             found[sign] = ids.tobytes()
-        for word, (letters, sign) in parts.items():
-            self.words[word] = found[letters] + found[sign]
+        self.words.update(zip(bare, map(found.__getitem__, lower), strict=True))
+        self.words.update((word, found[letters] + found[sign]) for word, letters, sign in signed)
         for a in range(0, len(other), 20_000):
             for word, ids in zip(other[a : a + 20_000], self.ids(other[a : a + 20_000]), strict=True):
                 self.words[word] = ids.tobytes()
