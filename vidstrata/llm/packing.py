@@ -30,7 +30,7 @@ DIMENSIONS = 1024
 AXES = 4
 DEPTH = 15  # bits of an axis
 SAMPLE = 20_000
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _SIGNS = (mix(np.arange(1, DIMENSIONS * AXES + 1, dtype=np.uint64)) & np.uint64(1)).astype(np.float32).reshape(DIMENSIONS, AXES) * 2 - 1
 
