@@ -142,16 +142,29 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         "it's don't!! É. ÀB,, x1y2 a|b|> é Ĳa İx ﬁn ß ª",
         "x\u0085y z 　k ''s a's, it'S-x",
         "\n\n a\tb\r\nc",
+        "say \"this\" (a) [b]: c;d e=f 1a2b a\x00b a\x1fb naïve, 'tis rock'n'roll a—b,c J\u030c j\u030c, a'\u0301s",
         "Σας ΣΑΣ, 中文。 日本 ①②",
         "re've 're . ... -- a.b.c U.S.A. l'été D'accord <|startoftext|>",
         *[t for t in ODD if t],
     ]
     own = packing.encoder(None)
     for _ in range(2):  # learned, then looked up
-        found = [np.frombuffer(x, dtype="<u2")[:-1].tolist() for x in own.encode(texts)]
+        ids = own.encode(packing.read_words([t.encode() for t in texts])).to_pylist()
+        assert all(np.frombuffer(x, dtype="<u2")[-1] == 2 for x in ids)
+        found = [np.frombuffer(x, dtype="<u2")[:-1].tolist() for x in ids]
         assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_forgets_words_and_learns_them_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    own = packing.Encoder(None)
+    for texts in (["One two three", "", "four's five. six"], ["seven one eight"], ["", ""], ["two Two TWO two, nine"], ["one two three four's"]):
+        found = own.encode(packing.read_words([t.encode() for t in texts])).to_pylist()
+        want = [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, dtype="<u2").tolist() for x in found] == want
+    assert len(own.hash) <= 10
+
+
 def test_hilbert_curve_visits_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 4, indexing="ij"), -1).reshape(-1, 4)
     keys = packing.hilbert(grid, 3)

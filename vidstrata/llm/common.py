@@ -111,22 +111,34 @@ def _table(separators: list[int], lower: bool) -> tuple[np.ndarray, np.ndarray]:
 
 # [^\x20\x09-\x0D]+ with A-Z as a-z
 PLAIN_WORDS = _table([0x20, *range(0x09, 0x0E)], lower=True)
+# The same words with their capitals
+CASED_WORDS = _table([0x20, *range(0x09, 0x0E)], lower=False)
 # Runs of letters, digits and bytes of other characters than ASCII, as they are.
 ALNUM_WORDS = _table([i for i in range(128) if not chr(i).isalnum()], lower=False)
 
 
 class Words:
-    """The words of a group of texts: ``doc`` (row), ``start``, ``end`` (bytes) and ``hash`` each."""
+    """The words of a group of texts: ``doc`` (row), ``start``, ``end`` (bytes) and ``hash`` each.
 
-    def __init__(self, texts: list[bytes], kind: tuple[np.ndarray, np.ndarray] = PLAIN_WORDS):
+    ``cut`` marks the bytes behind which and before which a word is cut in two.
+    """
+
+    def __init__(
+        self, texts: list[bytes], kind: tuple[np.ndarray, np.ndarray] = PLAIN_WORDS, cut: tuple[np.ndarray, np.ndarray] | None = None
+    ):
         self.rows = len(texts)
-        self.data = data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
+        self.text = b"\n".join(texts)
+        self.data = data = np.frombuffer(self.text, dtype=np.uint8)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         self.doc_start = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1].astype(np.int64)
         inside = np.zeros(len(data) + 2, dtype=bool)
         inside[1:-1] = kind[0][data]
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.start, self.end = edges[::2], edges[1::2]
+        if cut is not None:
+            at = np.flatnonzero(cut[0][data[:-1]] & cut[1][data[1:]]) + 1
+            self.start = np.sort(np.concatenate([self.start, at]), kind="stable")
+            self.end = np.sort(np.concatenate([self.end, at]), kind="stable")
         self.hash = mix(self._sums(kind[1], inside[1:-1])) if len(self.start) else np.empty(0, dtype=np.uint64)
         # the words of row i are first_word[i] to first_word[i + 1]
         self.first_word = np.append(np.searchsorted(self.start, self.doc_start), len(self.start))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import Words, as_bytes, groups, mix, shuffle_partitions, small_batches
+from vidstrata.llm.common import CASED_WORDS, Words, as_bytes, groups, mix, shuffle_partitions, small_batches
 
 LENGTH = 4096
 CLOSING = 2
@@ -30,8 +30,13 @@ DIMENSIONS = 1024
 AXES = 4
 DEPTH = 15  # bits of an axis
 SAMPLE = 20_000
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000  # words: some 40 MB
+TOGETHER = 1 << 21  # bytes of texts encoded at a time
 
+# Letters end a token, whatever sign or digit follows (but "|", which a special token may hold).
+_LETTER = np.array([i < 128 and chr(i).isalpha() for i in range(256)])
+_CUT = _LETTER, ~_LETTER & (np.arange(256) < 128) & CASED_WORDS[0] & (np.arange(256) != ord("|"))
+_NO_KEYS = np.empty(0, dtype=np.int64)
 _SIGNS = (mix(np.arange(1, DIMENSIONS * AXES + 1, dtype=np.uint64)) & np.uint64(1)).astype(np.float32).reshape(DIMENSIONS, AXES) * 2 - 1
 
 
@@ -60,38 +65,41 @@ def hilbert(points: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return key
 
 
-def curve_keys(texts: list[bytes]) -> np.ndarray:
-    out = np.empty(len(texts), dtype=np.int64)
-    for a, b in groups(texts):
-        for c in range(a, b, 256):
-            part = texts[c : min(c + 256, b)]
-            words = Words(part)
-            at = words.doc * DIMENSIONS + (words.hash % np.uint64(DIMENSIONS)).astype(np.int64)
-            counts = np.bincount(at, minlength=len(part) * DIMENSIONS).reshape(len(part), DIMENSIONS)
-            size = np.sqrt((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
-            spots = (counts @ _SIGNS.astype(np.float64)) / np.maximum(size, 1)
-            # about normal with spread 1: a logistic curve spreads them evenly over the cube
-            share = 1 / (1 + np.exp(-1.702 * spots))
-            cells = np.minimum((share * (1 << DEPTH)).astype(np.int64), (1 << DEPTH) - 1)
-            out[c : c + len(part)] = hilbert(cells)
+def read_words(texts: list[bytes]) -> list[Words]:
+    """Words as they are written, cut behind their letters, of consecutive groups of rows."""
+    return [Words(texts[a:b], CASED_WORDS, _CUT) for a, b in groups(texts)]
+
+
+def curve_keys(words: Words) -> np.ndarray:
+    out = np.empty(words.rows, dtype=np.int64)
+    for a in range(0, words.rows, 256):
+        b = min(a + 256, words.rows)
+        own = np.arange(words.first_word[a], words.first_word[b])
+        own = own[words.start[own] != words.end[own - 1]]  # without what was cut off behind letters
+        at = (words.doc[own] - a) * DIMENSIONS + (words.hash[own] % np.uint64(DIMENSIONS)).astype(np.int64)
+        counts = np.bincount(at, minlength=(b - a) * DIMENSIONS).reshape(b - a, DIMENSIONS)
+        size = np.sqrt((counts.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+        spots = (counts @ _SIGNS.astype(np.float64)) / np.maximum(size, 1)
+        # about normal with spread 1: a logistic curve spreads them evenly over the cube
+        share = 1 / (1 + np.exp(-1.702 * spots))
+        cells = np.minimum((share * (1 << DEPTH)).astype(np.int64), (1 << DEPTH) - 1)
+        out[a:b] = hilbert(cells)
     return out
 
 
-def lowered(text: str) -> str:
-    """Lower case where it is sure to be the tokenizer's own: texts of Latin-1 characters."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+def laid_out(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Runs of ``flat``, one after the other."""
+    ends = np.cumsum(counts)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)]
 
 
 class Encoder:
     """Token ids of whole texts as 16-bit numbers, remembered word by word.
 
-    The tokenizer never joins characters across spaces and newlines, nor letters with the signs behind
-    them, so a text's ids are those of its words one after the other, and a word's those of its letters
-    and of its closing signs. Letters are looked up in lower case, which is all the tokenizer sees.
+    The tokenizer never joins characters across white space, nor letters with the signs behind them, so a
+    text's ids are those of its words one after the other, and a word's those of its letters and of its
+    closing signs. A word is known by its 64-bit hash; the ids of all words known lie in one array. Words
+    not met for longest are forgotten beyond ``REMEMBERED``.
     """
 
     def __init__(self, path: str | None):
@@ -111,57 +119,86 @@ class Encoder:
         self.width = 4 if self.wide else 2
         self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        # of each word known, by hash: where its ids begin in ``flat``, how many they are, when it was met last
+        self.hash = np.empty(0, dtype=np.uint64)
+        self.start = self.count = self.met = np.empty(0, dtype=np.int64)
+        self.flat = np.empty(0, dtype=self.kind)
+        self.calls = 0
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: set[str]) -> None:
-        """Remember the ids of words not seen before."""
-        bare, signed, other = [], [], []
-        for word in new:
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        bare, signs, other = [], set(), []
+        for word in words:
             letters = word.rstrip(SIGNS)
-            if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0100"):
-                other.append(word)
-            elif len(letters) == len(word):
-                bare.append(word)
+            # the tokenizer lowers words itself; only for Latin-1 letters the result is sure to be the same
+            if letters.isalpha() and (letters.isascii() or max(letters) < "\u0100"):
+                bare.append(letters.lower())
+                signs.add(word[len(letters) :])
             else:
-                signed.append((word, letters.lower(), word[len(letters) :]))
+                bare.append(None)
+                other.append(word)
         found = {}
         # a run of letters is one piece and ends with the only token that closes a piece
-        lower = list(map(str.lower, bare))
-        letters_of = {*lower, *(letters for _, letters, _ in signed)}
-        for memory in (self.words, self.older):
-            met = letters_of.intersection(memory)
-            found.update(zip(met, map(memory.__getitem__, met), strict=True))
-        plain = list(letters_of.difference(found))
+        plain = list({letters for letters in bare if letters})
         some = [plain[a : a + 500] for a in range(0, len(plain), 500)]
         for letters, ids in zip(some, self.ids([" ".join(x) for x in some]), strict=True):
             ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.width).tolist()
             data = ids.tobytes()
             found.update(zip(letters, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        signs = list({sign for _, _, sign in signed})
-        for sign, ids in zip(signs, self.ids(signs), strict=True):
-            found[sign] = ids.tobytes()
-        self.words.update(zip(bare, map(found.__getitem__, lower), strict=True))
-        self.words.update((word, found[letters] + found[sign]) for word, letters, sign in signed)
-        for a in range(0, len(other), 20_000):
-            for word, ids in zip(other[a : a + 20_000], self.ids(other[a : a + 20_000]), strict=True):
-                self.words[word] = ids.tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        whole = [*signs, *other]
+        found.update((word, ids.tobytes()) for word, ids in zip(whole, self.ids(whole), strict=True))
+        return [found[word] if letters is None else found[letters] + found[word[len(letters) :]] for word, letters in zip(words, bare, strict=True)]
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Remember the ids of words not known; ``hashes`` rise."""
+        ids = self.ids_of([word.decode("utf-8", "replace") for word in words])
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width
+        starts = len(self.flat) + np.cumsum(counts) - counts
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), dtype=self.kind)])
+        at = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, at, hashes)
+        self.start = np.insert(self.start, at, starts)
+        self.count = np.insert(self.count, at, counts)
+        self.met = np.insert(self.met, at, self.calls)
+
+    def forget(self) -> None:
+        keep = self.met > np.median(self.met)
+        self.flat = laid_out(self.flat, self.start[keep], self.count[keep])
+        self.hash, self.count, self.met = self.hash[keep], self.count[keep], self.met[keep]
+        self.start = np.cumsum(self.count) - self.count
+
+    def encode(self, read: list[Words]) -> pa.Array:
         """Ids of each text and the closing id, little-endian; 32-bit numbers if the vocabulary needs it."""
-        closing = np.array([CLOSING], dtype=self.kind).tobytes()
-        split = [lowered(t).replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.words) > REMEMBERED:  # words that come again return from the older half
-            self.words, self.older = {"": b""}, self.words
-        new = set().union(*split).difference(self.words)
-        back = new.intersection(self.older)
-        self.words.update(zip(back, map(self.older.__getitem__, back), strict=True))
-        self.learn(new.difference(back))
-        look = self.words.__getitem__
-        return [b"".join(map(look, words)) + closing for words in split]
+        if len(self.hash) > REMEMBERED:
+            self.forget()
+        self.calls += 1
+        distinct, first, place = np.unique(np.concatenate([w.hash for w in read]), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        inside = at < len(self.hash)
+        new[inside] = self.hash[at[inside]] != distinct[inside]
+        if new.any():
+            begins = np.cumsum([0, *(len(w.hash) for w in read)])
+            group = np.searchsorted(begins, first[new], side="right") - 1
+            words = []
+            for i, w in enumerate(read):
+                own = first[new][group == i] - begins[i]
+                words.append(map(w.text.__getitem__, map(slice, w.start[own].tolist(), w.end[own].tolist())))
+            order = np.argsort(np.argsort(group, kind="stable"), kind="stable")
+            words = [word for some in words for word in some]
+            self.learn(distinct[new], [words[i] for i in order.tolist()])
+            at = np.searchsorted(self.hash, distinct)
+        self.met[at] = self.calls
+        counts = self.count[at][place]
+        ids = laid_out(self.flat, self.start[at][place], counts)
+        # a text ends behind its last word, and its closing id is set in there
+        sizes = np.concatenate([np.diff(w.first_word) for w in read])
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(sizes)]
+        ids = np.insert(ids, ends, CLOSING)
+        offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * self.width
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
 
 
 _encoders: dict[str | None, Encoder] = {}
@@ -181,8 +218,8 @@ def splitters(docs: DataFrame, ranges: int, doc_id: str, text: str) -> list[tupl
 
     def run(batches: Iterator):
         for batch in batches:
-            keys = curve_keys([t or b"" for t in as_bytes(batch.column(0))])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(1)], names=["key", "tie"])
+            keys = [curve_keys(words) for words in read_words([t or b"" for t in as_bytes(batch.column(0))])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_NO_KEYS, *keys])), batch.column(1)], names=["key", "tie"])
 
     found = drawn.select(F.col(text), F.xxhash64(doc_id)).mapInArrow(run, "key bigint, tie bigint").toArrow()
     keys = sorted(zip(found.column("key").to_pylist(), found.column("tie").to_pylist(), strict=True))
@@ -197,22 +234,18 @@ def tokens(docs: DataFrame, cuts: list[tuple[int, int]], doc_id: str, text: str,
     def run(batches: Iterator):
         own = encoder(path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                keys = curve_keys([t or b"" for t in as_bytes(part.column(1))])
+            texts = [t or b"" for t in as_bytes(batch.column(1))]
+            for a, b in groups(texts, TOGETHER):
+                part = batch.slice(a, b - a)
+                read = read_words(texts[a:b])
+                keys = np.concatenate([curve_keys(words) for words in read])
                 ties = part.column(2).to_pylist()
                 buckets = np.searchsorted(cut_keys, keys, side="left")
                 for i, key in enumerate(keys):  # equal keys go by their tie
                     while buckets[i] < len(cuts) and cuts[buckets[i]] <= (key, ties[i]):
                         buckets[i] += 1
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(buckets.astype(np.int32)),
-                        pa.array(keys),
-                        part.column(2),
-                        part.column(0),
-                        pa.array(own.encode(part.column(1).to_pylist()), type=pa.binary()),
-                    ],
+                    [pa.array(buckets.astype(np.int32)), pa.array(keys), part.column(2), part.column(0), own.encode(read)],
                     names=["bucket", "key", "tie", "doc_id", "ids"],
                 )
 
