@@ -37,6 +37,34 @@ def test_page_without_an_article_element(weights):
     assert html_text.extract(page, weights) == MAIN
 
 
+WRAPPERS = ["has-sidebar", "with-sidebar", "no-sidebar", "content-sidebar", "sticky-nav", "has-banner", "comments-open", "legal-page"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_named_wrapper_of_the_page(weights, name):
+    within = PAGE.replace("<body>", f"<body><div>Our site</div><div class='{name}'><div id='x {name}'>").replace("</body>", "</div></div></body>")
+    plain = within.replace("<article><h1>", "<div class='story'><h1>").replace("</article>\n", "</div>\n")
+    itself = PAGE.replace("<article><h1>", f"<article class='post {name}'><h1>")
+    assert [html_text.extract(p, weights) for p in (within, plain, itself)] == [MAIN] * 3
+
+
+def test_named_wrapper_of_labelled_pages(spark):
+    rows = [(f"<body><div class='has-sidebar'><div class='x'>{'side ' * 9}</div><article><p class='y'>{'text ' * 9}</p></article></div></body>",)]
+    weights = html_text.fit(spark.createDataFrame(rows, "html string"))
+    assert weights.word[html_text.slot(".y")] > 0 > weights.word[html_text.slot(".x")]
+
+
+def test_named_elements_beside_the_text(weights):
+    story = "<div class='story'><p>" + "word " * 50 + "</p></div>"
+    for name in ("comments", "related-posts", "cookie-notice"):
+        page = f"<body>{story}<div class='{name}'><p>{'other ' * 200}</p></div></body>"
+        assert html_text.extract(page, weights) == " ".join(["word"] * 50)
+        assert html_text.extract(f"<div class='has-sidebar'>{page}</div>", weights) == " ".join(["word"] * 50)
+    assert html_text.extract(f"<body><p>Our site</p><div class='sidebar'>{story * 8}</div></body>", weights).count("word") == 400
+    parts = "".join(f"<div class='legal-part'><p>{x} {'word ' * 30}</p></div>" for x in "abc")
+    assert html_text.extract(f"<body><p>Terms</p>{parts}</body>", weights).count("word") == 90
+
+
 @pytest.mark.parametrize("page, text", [(None, ""), ("", ""), ("<p", ""), ("<!-- x", ""), ("<article><p>cut &am", "cut &am"), ("<script>x", "")])
 def test_odd_pages(weights, page, text):
     assert html_text.extract(page, weights) == text

@@ -4,9 +4,13 @@ A page is cut into tags and runs of text. Words score by the log-odds, over the
 names around them, of main against other text; tags score negative. One linear scan (best sum of
 consecutive scores) finds the content region; it is widened to the ``article`` or ``main`` element it
 lies in. The weights come from labelled pages: a page with exactly one ``article`` (else one ``main``)
-element labels its own words, those inside it as main text. Elements named for menus, notices,
-adverts and the like score slightly negative wherever they stand, and are left out of the
-region.
+element labels its own words, those inside it as main text. Elements made for menus, forms and the like
+score slightly negative wherever they stand, and are left out of the region.
+
+A class or id that names a menu, notice, advert or the like is a prior against its elements, judged for
+each page: they are left out unless their text, at the odds of such a name, outscores what the page has
+outside of them. A wrapper of the page (``has-sidebar``) is opened so, and then the elements within it
+are judged in the same way; elements of the same names are opened together.
 
 A null, empty or text-free page has an empty text. Unclosed elements end with their parent, an unclosed
 tag or comment takes the rest of the page. Blocks are joined by one newline, white space within a block
@@ -54,6 +58,7 @@ LEFT_OUT_TAG = SLOTS  # in place of the slot of a tag within an element that is
 UNSEEN_TAG = 0.5
 LEFT_OUT = 0.05  # against a word or tag in an element that is left out, in the region or not
 LIMIT = 3.0  # of one name's weight
+NAMED, NAMED_SO = 0.1, 0.05  # odds that an element is main text if a part of its name, or all of it, tells otherwise
 WORD_BASE = 0.5
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
@@ -67,6 +72,8 @@ class Element:
     slots: tuple[int, ...]
     left_out: bool
     main: bool
+    names: tuple[str, ...] = ()  # classes and ids that speak against it
+    so: bool = False  # one of them is nothing but such a name
 
 
 @dataclass
@@ -81,10 +88,22 @@ class Run:
     block: int
 
 
+@dataclass
+class Named:
+    """An element with names that speak against it."""
+
+    parent: int  # number of the one around it, 0 if none
+    names: tuple[str, ...]
+    odds: float
+
+
 @dataclass
 class Page:
     items: list = field(default_factory=list)  # Run, or the slot of a tag
     mains: dict[int, str] = field(default_factory=dict)
+    within: list[int] = field(default_factory=list)  # number of the innermost named element around each item
+    named: list[Named] = field(default_factory=lambda: [Named(-1, (), 1.0)])  # 0 is the page
+    mains_within: dict[int, int] = field(default_factory=dict)
 
 
 def slot(name: str) -> int:
@@ -92,20 +111,22 @@ def slot(name: str) -> int:
 
 
 def element(name: str, attributes: str, inside_main: bool) -> Element:
-    names, left_out = [f"<{name}"], name in NAMES_OF_LEFT_OUT or (name == "header" and not inside_main)
+    names, against, left_out = [f"<{name}"], [], name in NAMES_OF_LEFT_OUT or (name == "header" and not inside_main)
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 names += [f".{x.lower()}" for x in value.split()]
-                left_out |= name not in ("html", "body") and any(NAMES_LEFT_OUT.search(x) for x in value.split())
+                if name not in ("html", "body"):
+                    against += [x.lower() for x in value.split() if NAMES_LEFT_OUT.search(x)]
             elif key == "role":
                 left_out |= value.lower() in ROLES_LEFT_OUT
             elif key == "hidden":
                 left_out = True
             elif key == "aria-hidden":
                 left_out |= value.lower() == "true"
-    return Element(name, tuple(slot(x) for x in names), left_out, name in ("article", "main"))
+    so = name not in ("article", "main") and any(NAMES_LEFT_OUT.fullmatch(x) for x in against)
+    return Element(name, tuple(slot(x) for x in names), left_out, name in ("article", "main"), tuple(sorted(against)), so)
 
 
 def parse(source: str) -> Page:
@@ -114,6 +135,7 @@ def parse(source: str) -> Page:
     open_names: Counter = Counter()
     out = block = mains = 0
     around: list[int] = []  # numbers of the article and main elements around
+    inside = [0]  # numbers of the named elements around
     at, end = 0, len(source)
     lower = None
 
@@ -125,6 +147,8 @@ def parse(source: str) -> Page:
             out -= gone.left_out
             if gone.main:
                 around.pop()
+            if gone.names:
+                inside.pop()
 
     while at < end:
         less = source.find("<", at)
@@ -134,6 +158,7 @@ def parse(source: str) -> Page:
             text = html.unescape(source[at:less])
             slots = tuple(s for e in stack for s in e.slots)
             page.items.append(Run(text, len(text.split()), slots, out > 0, around[-1] if around else 0, block))
+            page.within.append(inside[-1])
         if less == end:
             break
         if source.startswith("<!--", less):
@@ -148,6 +173,7 @@ def parse(source: str) -> Page:
                 at = end if close < 0 else close + 1
             else:  # a less-than sign in the text
                 page.items.append(Run("<", 0, (), out > 0, around[-1] if around else 0, block))
+                page.within.append(inside[-1])
                 at = less + 1
             continue
         rest = _REST.match(source, name.end())
@@ -160,6 +186,7 @@ def parse(source: str) -> Page:
             block += 1
         opened = len(page.items)
         page.items.append(LEFT_OUT_TAG if out else slot(f"<{tag}"))
+        page.within.append(inside[-1])
         if closing:
             if open_names[tag] > 0:
                 depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].name == tag)
@@ -179,10 +206,15 @@ def parse(source: str) -> Page:
         if attributes.endswith("/") and tag in INLINE:
             continue
         new = element(tag, attributes, bool(around))
+        if new.names:
+            page.named.append(Named(inside[-1], new.names, NAMED_SO if new.so else NAMED))
+            inside.append(len(page.named) - 1)
+            page.within[opened] = inside[-1]
         if new.main:
             mains += 1
             around.append(mains)
             page.mains[mains] = tag
+            page.mains_within[mains] = inside[-1]
         stack.append(new)
         open_names[tag] += 1
         out += new.left_out
@@ -203,13 +235,20 @@ def labelled_main(page: Page) -> int:
 def counts(page: Page, found: np.ndarray) -> None:
     """Add the page's words (rows 0, 1) and tags (rows 2, 3), outside and inside its main text.
 
-    What lies in elements that are left out anyway tells nothing about the names within them.
+    What lies in elements that are left out anyway tells nothing about the names within them. Named
+    elements are left out here if they do not hold the main text.
     """
     main = labelled_main(page)
     if not main:
         return
+    known, at = {0}, page.mains_within[main]
+    while at:
+        known.add(at)
+        at = page.named[at].parent
     inside = 0
-    for item in page.items:
+    for item, within in zip(page.items, page.within, strict=True):
+        if within not in known:
+            continue
         if isinstance(item, Run):
             if item.left_out:
                 continue
@@ -247,6 +286,46 @@ class Weights:
         return run.words * min(max(WORD_BASE + odds, -LIMIT), LIMIT)
 
 
+def opened(page: Page, weights: Weights) -> set[int]:
+    """The named elements that are not left out, and 0 for the page itself."""
+    found = {0}
+    n = len(page.named)
+    if n == 1:
+        return found
+    own, total = [0.0] * n, [0.0] * n  # the best region of what lies in an element and in no named one within
+    for item, g in zip(page.items, page.within, strict=True):
+        total[g] = max(total[g], 0.0) + (weights.run_score(item) if isinstance(item, Run) else float(weights.tag[item]))
+        own[g] = max(own[g], total[g])
+    whole = own.copy()
+    children: dict[int, list[int]] = {}
+    for g in range(n - 1, 0, -1):  # outer elements have smaller numbers
+        whole[page.named[g].parent] += whole[g]
+        children.setdefault(page.named[g].parent, []).append(g)
+    here, text = [0], own[0]
+    while True:
+        alike: dict[tuple, list[int]] = {}
+        for g in (c for p in here for c in children.get(p, ())):
+            alike.setdefault((page.named[g].names, page.named[g].odds), []).append(g)
+        score, here = max(((odds * sum(whole[g] for g in gs), gs) for (_, odds), gs in alike.items()), default=(0.0, []))
+        if score <= text:
+            return found
+        found.update(here)
+        text += sum(own[g] for g in here)
+
+
+def settle(page: Page, weights: Weights) -> None:
+    """Leave out what lies in named elements that are not opened."""
+    found = opened(page, weights)
+    if len(found) == len(page.named):
+        return
+    for i, g in enumerate(page.within):
+        if g not in found:
+            if isinstance(page.items[i], Run):
+                page.items[i].left_out = True
+            else:
+                page.items[i] = LEFT_OUT_TAG
+
+
 def region(page: Page, weights: Weights) -> tuple[int, int]:
     """The items of the best contiguous region, by one scan."""
     best, best_span, total, start = 0.0, (0, 0), 0.0, 0
@@ -263,6 +342,7 @@ def extract(source: str | None, weights: Weights) -> str:
     if not source:
         return ""
     page = parse(source)
+    settle(page, weights)
     start, end = region(page, weights)
     runs = [r for r in page.items[start:end] if isinstance(r, Run) and not r.left_out and r.words]
     if not runs:
