@@ -65,6 +65,33 @@ def test_named_elements_beside_the_text(weights):
     assert html_text.extract(f"<body><p>Terms</p>{parts}</body>", weights).count("word") == 90
 
 
+def words(name, n=30):
+    return " ".join([name] * n)
+
+
+AROUND = "<body><nav><a>Home</a></nav>{}<footer>Imprint</footer></body>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # title and intro beside the article in main
+        (f"<main><h1>Title</h1><p>{words('intro', 5)}</p><article><p>{words('body')}</p></article></main>", f"Title\n{words('intro', 5)}\n{words('body')}"),
+        # a title of some words outside of the article, without main
+        (f"<div><h1>{words('title', 8)}</h1></div><article><p>{words('body')}</p></article>", f"{words('title', 8)}\n{words('body')}"),
+        # a story in several articles
+        ("".join(f"<article><p>{words(x)}</p></article>" for x in "abc"), "\n".join(words(x) for x in "abc")),
+        ("<main>" + "".join(f"<article><p>{words(x)}</p></article>" for x in "abc") + "</main>", "\n".join(words(x) for x in "abc")),
+        # articles within the article
+        (f"<article><p>{words('a')}</p><article><p>{words('b', 50)}</p></article><p>{words('c')}</p></article>", f"{words('a')}\n{words('b', 50)}\n{words('c')}"),
+        # text without an article before one that has less
+        (f"<div><p>{words('a', 40)}</p></div><article><p>{words('b')}</p></article>", f"{words('a', 40)}\n{words('b')}"),
+    ],
+)
+def test_whole_region_is_returned(weights, page, text):
+    assert html_text.extract(AROUND.format(page), weights) == text
+
+
 @pytest.mark.parametrize("page, text", [(None, ""), ("", ""), ("<p", ""), ("<!-- x", ""), ("<article><p>cut &am", "cut &am"), ("<script>x", "")])
 def test_odd_pages(weights, page, text):
     assert html_text.extract(page, weights) == text

@@ -2,8 +2,8 @@
 
 A page is cut into tags and runs of text. Words score by the log-odds, over the elements and class
 names around them, of main against other text; tags score negative. One linear scan (best sum of
-consecutive scores) finds the content region; it is widened to the ``article`` or ``main`` element it
-lies in. The weights come from labelled pages: a page with exactly one ``article`` (else one ``main``)
+consecutive scores) finds the content region. All of it is returned; at its ends it is widened to whole
+blocks and to the outermost ``article`` or ``main`` element around them, with those nested in it. The weights come from labelled pages: a page with exactly one ``article`` (else one ``main``)
 element labels its own words, those inside it as main text. Elements made for menus, forms and the like
 score slightly negative wherever they stand, and are left out of the region.
 
@@ -85,6 +85,7 @@ class Run:
     slots: tuple[int, ...]
     left_out: bool
     main: int  # number of the article or main element around it, 0 if none
+    outer: int  # the outermost of those around it
     block: int
 
 
@@ -157,7 +158,7 @@ def parse(source: str) -> Page:
         if less > at:
             text = html.unescape(source[at:less])
             slots = tuple(s for e in stack for s in e.slots)
-            page.items.append(Run(text, len(text.split()), slots, out > 0, around[-1] if around else 0, block))
+            page.items.append(Run(text, len(text.split()), slots, out > 0, around[-1] if around else 0, around[0] if around else 0, block))
             page.within.append(inside[-1])
         if less == end:
             break
@@ -172,7 +173,7 @@ def parse(source: str) -> Page:
                 close = source.find(">", less)
                 at = end if close < 0 else close + 1
             else:  # a less-than sign in the text
-                page.items.append(Run("<", 0, (), out > 0, around[-1] if around else 0, block))
+                page.items.append(Run("<", 0, (), out > 0, around[-1] if around else 0, around[0] if around else 0, block))
                 page.within.append(inside[-1])
                 at = less + 1
             continue
@@ -347,15 +348,12 @@ def extract(source: str | None, weights: Weights) -> str:
     runs = [r for r in page.items[start:end] if isinstance(r, Run) and not r.left_out and r.words]
     if not runs:
         return ""
-    words = Counter()
-    for r in runs:
-        words[r.main] += r.words
-    main = words.most_common(1)[0][0]
-    blocks = {r.block for r in runs}
+    outer = {r.outer for r in runs} - {0}
+    blocks = {runs[0].block, runs[-1].block}
     chosen = [
         r
-        for r in page.items
-        if isinstance(r, Run) and not r.left_out and (r.main == main if main else r.block in blocks and not r.main)
+        for i, r in enumerate(page.items)
+        if isinstance(r, Run) and not r.left_out and (start <= i < end or r.outer in outer or r.block in blocks)
     ]
     texts: dict[int, list[str]] = {}
     for r in chosen:
