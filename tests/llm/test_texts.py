@@ -169,6 +169,37 @@ def test_toxicity_of_odd_texts_and_labels(spark):
     assert toxicity.score(given.where("false"), toxicity.fit(rows.where("false"), labels)).collect() == []
 
 
+def test_toxic_word_does_not_share_its_counts(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{a}{b}{c}" for a in letters for b in letters for c in letters]
+    slots = {}
+    hashes = toxicity.Words([" ".join(words).encode()], toxicity.ALNUM_WORDS).hash
+    for word, h in zip(words, hashes.tolist(), strict=True):
+        slots.setdefault(h % (1 << 18), []).append(word)
+    bad, good = next(x[:2] for x in slots.values() if len(x) > 1)  # the same 18 last bits
+    rows = [(i, f"so {bad} is it", 1) if i < 20 else (i, f"so {good} is it {i}", 0) for i in range(220)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(known.drop("toxic"), known.drop("text"))
+    found = model.word_scores(toxicity.Words([f"{bad} {good}".encode()], toxicity.ALNUM_WORDS))
+    assert found[0] > 1 and found[1] == toxicity.LOWEST
+
+
+def test_counts_of_forms_equal_the_definition(spark, monkeypatch):
+    texts = ["abcd abcdefgh x x", "abcdx", "", "é abcd", "x"]
+    rows = [(t.encode(), i % 2 == 0) for i, t in enumerate(texts)]
+    want = {}
+    for text, toxic in rows:
+        words = toxicity.Words([text], toxicity.ALNUM_WORDS)
+        for h in {h for h in toxicity.units(words, np.arange(len(words.hash))).ravel().tolist() if h}:
+            n = want.setdefault(h, [0, 0])
+            n[0 if toxic else 1] += 1
+    assert len(want) == 10
+    known = spark.createDataFrame(rows, "text binary, toxic boolean").repartition(2)
+    for held in (1 << 20, 1):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        assert {r.form % (1 << 64): [r.bad, r.good] for r in toxicity.counts(known).collect()} == want
+
+
 def test_maximal_segments_equal_the_definition():
     rng = random.Random(4)
     for _ in range(200):

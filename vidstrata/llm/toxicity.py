@@ -2,9 +2,9 @@
 
 A word is scored by the log-odds of toxic against clean labelled documents, with Dirichlet priors: the
 prior count of a word is a fixed total dealt out by its frequency in both classes together. What is
-counted is the word itself and its beginnings of 4 to 7 bytes (inflected forms share them), in hashed
-tables of fixed size, over all labelled documents. A word's score is the best lower bound among these,
-less a drift that makes ordinary words negative. One scan over a text finds all maximal segments
+counted is the word itself and its beginnings of 4 to 7 bytes (inflected forms share them), by 64-bit
+hash, over all labelled documents. A word's score is the best lower bound among these, less a drift that
+makes ordinary words negative, and ``LOWEST`` at least; the model holds the forms that score more. One scan over a text finds all maximal segments
 (Ruzzo and Tompa). For segments of clean texts the scores follow an extreme-value law: its decay solves
 sum p(s) exp(decay * s) = 1 over the word scores of clean documents, its offset is fitted to their best
 segments. The normalised scores of the significant segments add up to a document's evidence, and a
@@ -27,7 +27,7 @@ from vidstrata.llm.common import ALNUM_WORDS, Words, as_bytes, groups, in_arrow,
 from vidstrata.session import estimated_bytes
 
 STARTS = (4, 5, 6, 7)
-BITS = 18
+HELD = 1 << 20  # so many counts a task adds up before it hands them on
 PRIOR = 1.0  # total prior count of a word, in documents
 CAUTION = 3.0  # lower bounds lie so many standard deviations below
 DRIFT = 0.5
@@ -37,39 +37,49 @@ BIN = 0.25
 EULER = 0.5772156649
 
 
-def units(words: Words) -> np.ndarray:
-    """Slots of the counted forms of each word: the word, then its beginnings; -1 where it is shorter."""
-    out = np.empty((len(STARTS) + 1, len(words.hash)), dtype=np.int64)
-    mask = np.uint64((1 << BITS) - 1)
-    out[0] = (words.hash & mask).astype(np.int64)
-    sizes = words.end - words.start
+def units(words: Words, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the counted forms of the words ``at``: the word, then its beginnings; 0 where it is shorter."""
+    out = np.empty((len(STARTS) + 1, len(at)), dtype=np.uint64)
+    out[0] = words.hash[at]
+    start, sizes = words.start[at], words.end[at] - words.start[at]
     for k, length in enumerate(STARTS, start=1):
         total = np.zeros(len(sizes), dtype=np.uint64)
         long_enough = np.flatnonzero(sizes >= length)
         for j in range(length):
-            total[long_enough] += ALNUM_WORDS[1][words.data[words.start[long_enough] + j]] * powers(16)[j]
-        slot = (mix(total + np.uint64(k)) & mask).astype(np.int64) + (k << BITS)
-        out[k] = np.where(sizes >= length, slot, -1)
+            total[long_enough] += ALNUM_WORDS[1][words.data[start[long_enough] + j]] * powers(16)[j]
+        out[k] = np.where(sizes >= length, mix(total + np.uint64(k)), np.uint64(0))
     return out
 
 
-SLOTS = (len(STARTS) + 1) << BITS
-
-
 @dataclass
 class Model:
-    table: np.ndarray | None = None  # a score for each slot
+    forms: np.ndarray | None = None  # sorted hashes of the forms that score above LOWEST
+    scores: np.ndarray | None = None
     decay: float = 1.0
     offset: float = 0.0
     slope: float = 0.0
     bias: float = -20.0
 
+    def __post_init__(self):
+        if self.forms is not None:
+            self.shift = np.uint64(64 - max(16, len(self.forms).bit_length() + 3))
+            self.begins = np.zeros(1 << (64 - int(self.shift)), dtype=bool)  # by first bits, whether there is a form
+            self.begins[self.forms >> self.shift] = True
+
+    def form_scores(self, forms: np.ndarray) -> np.ndarray:
+        out = np.full(forms.shape, np.float32(LOWEST))
+        at = np.flatnonzero(self.begins[forms >> self.shift])
+        own = forms.ravel()[at]
+        place = np.minimum(np.searchsorted(self.forms, own), len(self.forms) - 1)
+        known = self.forms[place] == own if len(own) else np.empty(0, dtype=bool)
+        out.ravel()[at[known]] = self.scores[place[known]]
+        return out
+
     def word_scores(self, words: Words) -> np.ndarray:
         if not len(words.hash):
             return np.empty(0, dtype=np.float32)
-        slots = units(words)
-        scores = np.where(slots >= 0, self.table[slots], np.float32(LOWEST)).max(axis=0)
-        scores = np.maximum(scores, np.float32(LOWEST))
+        _, first, word = np.unique(words.hash, return_index=True, return_inverse=True)
+        scores = self.form_scores(units(words, first)).max(axis=0)[word]
         # the n-th time a text says a word counts 1 / n^2: repeated lines are no further evidence
         at = np.flatnonzero(scores > 0)
         order = np.lexsort((at, words.hash[at], words.doc[at]))
@@ -134,34 +144,55 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> Data
     return texts.join(own, F.col("id") == F.col("of")).select("text", (F.col("toxic") > 0).alias("toxic"))
 
 
-def counts(known: DataFrame) -> pd.DataFrame:
-    """(slot, toxic documents, clean documents), at most ``SLOTS`` rows."""
+def counts(known: DataFrame) -> DataFrame:
+    """(form, toxic documents, clean documents) of all forms of words; ``form`` has the bits of the hash."""
 
     def run(batches):
         import pyarrow as pa
 
-        seen = np.zeros((2, SLOTS), dtype=np.int64)
+        form, seen = np.empty(0, dtype=np.uint64), np.empty((2, 0), dtype=np.int64)
+        new, kinds, held = [], [], 0
+
+        def merge():
+            every, at = np.unique(np.concatenate([form, *new]), return_inverse=True)
+            total = np.zeros((2, len(every)), dtype=np.int64)
+            total[:, at[: len(form)]] = seen
+            kind = np.repeat(np.array(kinds, dtype=np.int64), [len(x) for x in new])
+            for c in (0, 1):
+                total[c] += np.bincount(at[len(form) :][kind == c], minlength=len(every))
+            return every, total
+
+        def rows():
+            for c in range(0, len(form), 100_000):
+                some = slice(c, c + 100_000)
+                yield pa.RecordBatch.from_pydict({"form": form[some].view(np.int64), "bad": seen[1, some], "good": seen[0, some]})
+
         for batch in batches:
             texts, toxic = as_bytes(batch.column(0)), batch.column(1).to_pylist()
             for a, b in groups(texts):
                 words = Words(texts[a:b], ALNUM_WORDS)
-                slots = units(words)
+                _, first, word = np.unique(words.hash, return_index=True, return_inverse=True)
+                forms = units(words, first)
                 for i in range(b - a):
-                    own = np.unique(slots[:, words.first_word[i] : words.first_word[i + 1]])
-                    seen[int(toxic[a + i]), own[own >= 0]] += 1
-        at = np.flatnonzero(seen.any(axis=0))
-        for c in range(0, len(at), 100_000):
-            some = at[c : c + 100_000]
-            yield pa.RecordBatch.from_pydict({"slot": some.astype(np.int32), "bad": seen[1, some], "good": seen[0, some]})
-
-    rows = known.mapInArrow(run, "slot int, bad bigint, good bigint")
-    return rows.groupBy("slot").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
-
-
-def log_odds(found: pd.DataFrame, bad_docs: int, good_docs: int) -> np.ndarray:
-    """The score of each slot: a lower bound of the log-odds, less the drift."""
-    bad, good = np.zeros(SLOTS), np.zeros(SLOTS)
-    bad[found["slot"]], good[found["slot"]] = found["bad"], found["good"]
+                    own = np.unique(forms[:, np.unique(word[words.first_word[i] : words.first_word[i + 1]])])
+                    new.append(own[own > 0])
+                    kinds.append(int(toxic[a + i]))
+                    held += len(new[-1])
+                if held > HELD:
+                    form, seen = merge()
+                    new, kinds, held = [], [], 0
+                    if len(form) > HELD:
+                        yield from rows()
+                        form, seen = form[:0], seen[:, :0]
+        form, seen = merge()
+        yield from rows()
+
+    rows = known.mapInArrow(run, "form bigint, bad bigint, good bigint")
+    return rows.groupBy("form").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+def log_odds(bad: np.ndarray, good: np.ndarray, bad_docs: int, good_docs: int) -> np.ndarray:
+    """The scores of forms by their counts: a lower bound of the log-odds, less the drift."""
     seen = bad + good
     rate = (seen + 0.5) / (bad_docs + good_docs + 1)
     prior_bad = PRIOR * bad_docs / (bad_docs + good_docs)
@@ -174,6 +205,18 @@ def log_odds(found: pd.DataFrame, bad_docs: int, good_docs: int) -> np.ndarray:
     return np.where(rate < 0.5, score, np.minimum(score, -DRIFT)).astype(np.float32)
 
 
+def scored_forms(known: DataFrame, bad_docs: int, good_docs: int) -> pd.DataFrame:
+    """(form, score) of all forms that score above ``LOWEST``, which others have."""
+
+    def work(batch):
+        form, bad, good = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        score = log_odds(bad, good, bad_docs, good_docs)
+        kept = score > LOWEST
+        yield {"form": form[kept], "score": score[kept]}
+
+    return in_arrow(counts(known), work, "form bigint, score float").toPandas()
+
+
 def histogram(known: DataFrame, bins_of) -> pd.DataFrame:
     """(toxic, bin, n) of the numbers ``bins_of`` gives for (texts, toxic)."""
 
@@ -196,7 +239,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not bad or not good:
         share = bad / max(bad + good, 1)
         return Model(bias=float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    model = Model(table=log_odds(counts(known), bad, good))
+    kept = scored_forms(known, bad, good)
+    forms = kept["form"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(forms)
+    model = Model(forms=forms[order], scores=kept["score"].to_numpy(dtype=np.float32)[order])
 
     def by_word(texts):
         owners, scores = [], []
@@ -259,7 +305,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "toxici
     @F.pandas_udf("score double, evidence double, passages array<struct<first: int, end: int, score: double>>")
     def run(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        if own.table is None:
+        if own.forms is None:
             found = [(0.0, [])] * len(texts)
         else:
             found = [(own.evidence(n, spans), [x for x in spans if x[2] > 0]) for n, spans in own.segments(list(texts))]
