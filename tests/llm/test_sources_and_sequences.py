@@ -60,6 +60,30 @@ def test_rates_solve_the_token_constraints(spark):
         assert max(slopes, default=0) - min(slopes, default=0) < 1e-9
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_rows_of_one_id_share_the_extra_copies(spark, monkeypatch, same_text):
+    monkeypatch.setattr(mixing, "PIECE", 100)
+    text = F.lit("a b c") if same_text else F.concat(F.lit("a b c"), F.col("i"))
+    ids = F.expr("CASE WHEN i < 3000 THEN NULL WHEN i < 3010 THEN 7 ELSE i END")
+    given = spark.range(6000).withColumnRenamed("id", "i").select(
+        ids.alias("doc_id"), text.alias("text"), F.expr("CASE WHEN i % 2 = 0 OR i >= 5000 THEN 's0' ELSE 's1' END").alias("source")
+    )
+    runs = []
+    for parts in (2, 5):
+        rows = mixing.mix(given.repartition(parts)).collect()
+        assert len(rows) == 6000
+        taken, goal = defaultdict(int), {r.source: r.target for r in rows}
+        for r in rows:
+            taken[r.source] += r.taken
+            assert r.copies in (math.floor(r.rate), math.floor(r.rate) + 1)
+        assert all(abs(taken[s] - goal[s]) <= 3 for s in goal)
+        for s in goal:
+            null = [r for r in rows if r.doc_id is None and r.source == s]
+            assert abs(np.mean([r.copies for r in null]) - null[0].rate) < 0.1
+        runs.append(sorted((r.source, r.doc_id or -1, r.text, r.taken) for r in rows))
+    assert runs[0] == runs[1]
+
+
 def test_full_sources_and_odd_rows(spark):
     texts = ["w " * 400, "w " * 10, "w " * 10, *ODD]
     given = docs(spark, texts).withColumn("source", F.expr("CASE WHEN doc_id = 0 THEN 'big' WHEN doc_id < 3 THEN 'tiny' WHEN doc_id < 6 THEN 'none' END"))

@@ -6,7 +6,8 @@ source; at its solution a document's rate is ``exp(multiplier * size / mean size
 exponentially tilted by size. The multipliers come from Newton steps on the logarithm of the tilted
 sums, kept inside a bracket. Each step is one aggregation over the (source, size) counts, for all
 sources at once. Rates become whole copies: the whole part of the rate, and one more copy for the
-documents whose fraction beats their hash by most, until the target is met.
+documents whose fraction beats their own number by most, until the target is met. The number comes from
+the hash of doc_id and text; rows of a source that agree in both have numbers at even distances.
 
 Only DataFrame operations. Null texts have size 0, a null source is a source of its own, repeated rows
 count each, an empty table gives an empty result. Result columns replace input columns of their name.
@@ -28,6 +29,7 @@ NEWTON_STEPS = 60
 TOLERANCE = 1e-9
 BINS = 1024
 LEVELS = 3
+PIECE = 50_000  # rows of a group that agree in all are numbered in pieces of so many
 
 
 def word_count(text: Column) -> Column:
@@ -125,33 +127,45 @@ def solve(counts: DataFrame, goal: DataFrame, most: float) -> DataFrame:
     return state.select("source", "source_size", "target", "mean", "tilt")
 
 
-def rounding(sized: DataFrame, state: DataFrame, most: float) -> DataFrame:
+def rounding(groups: DataFrame, state: DataFrame, most: float) -> DataFrame:
     """``state`` with each source's limit: one more copy goes to documents whose lead is at least that.
 
     The lead lies in (-1, 1). Sums by lead find the bin in which the target is met, then a bin of that
     bin, and so on; a document is the error at most, but for those that tie in lead to 30 bits.
+    ``groups`` has (of, size, chance, n); a group of more rows than bins is counted by bin.
     """
-    docs = sized.join(state, F.col("of").eqNullSafe(F.col("source")))
-    docs = docs.where("size > 0").withColumn("rate", tilted(most)).withColumn("lead", lead())
-    whole = F.floor("rate") * F.col("size")
+    docs = groups.join(state, F.col("of").eqNullSafe(F.col("source")))
+    docs = docs.where("size > 0").withColumn("rate", tilted(most))
+    docs = docs.withColumn("fraction", F.col("rate") - F.floor("rate"))
+    whole = F.floor("rate") * F.col("size") * F.col("n")
     limits = (
         docs.groupBy("source")
         .agg(F.sum(whole).alias("whole"), F.first("target").alias("target"))
         .select("source", (F.col("target") - F.col("whole")).alias("missing"), F.lit(-1.0).alias("from_"))
     )
     limits = stored(limits, "mix-limits")
-    docs = docs.where(F.floor("rate") < most).select("of", "size", "lead")
+    docs = docs.where(F.floor("rate") < most).select("of", "size", "n", "fraction", number("chance").alias("number"))
     above = W.partitionBy("source").orderBy(F.col("bin").desc())
     width = 2.0
     for level in range(LEVELS):
         width /= BINS
-        own = F.floor((F.col("lead") - F.col("from_")) / width)
+        ahead = F.col("fraction") - F.col("from_")
+        own = F.when(F.col("n") == 1, F.array(F.floor((ahead - F.col("number")) / width)))
+        own = own.when(
+            F.col("n") <= BINS,
+            F.transform(
+                F.sequence(F.lit(0).cast("long"), F.col("n") - 1),
+                lambda j: F.floor((ahead - (F.col("number") + j) / F.col("n")) / F.lit(width)),
+            ),
+        ).otherwise(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")))
+        low = ahead - F.col("bin") * width
+        rows = F.when(F.col("n") <= BINS, F.lit(1).cast("long")).otherwise(beyond(low) - beyond(low - width))
         bins = (
             docs.join(limits, F.col("of").eqNullSafe(F.col("source")))
-            .withColumn("bin", own)
+            .withColumn("bin", F.explode(own))
             .where(F.col("bin").between(0, BINS - 1))
             .groupBy("source", "missing", "from_", "bin")
-            .agg(F.sum("size").alias("in_bin"))
+            .agg(F.sum(F.col("size") * rows).alias("in_bin"))
             .withColumn("with_bin", F.sum("in_bin").over(above))
         )
         # the highest bin that reaches what is missing; none: all bins are needed
@@ -173,10 +187,48 @@ def rounding(sized: DataFrame, state: DataFrame, most: float) -> DataFrame:
     return state.join(limits, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
 
 
-def lead() -> Column:
-    """The rate's fraction less the document's own number in [0, 1); the same at every run."""
-    own = F.pmod(F.col("chance"), F.lit(1 << 52)) / float(1 << 52)
-    return F.col("rate") - F.floor("rate") - own
+def number(chance: str) -> Column:
+    """A document's own number in [0, 1), the same at every run. Row j of a group has (number + j) / n.
+
+    A document's lead is the fraction of its rate less its number.
+    """
+    return F.pmod(F.col(chance), F.lit(1 << 52)) / float(1 << 52)
+
+
+def beyond(ahead: Column, n: str = "n", own: str = "number") -> Column:
+    """How many of a group's ``n`` numbers are at most ``ahead``."""
+    return F.greatest(F.least(F.floor(ahead * F.col(n) - F.col(own)) + 1, F.col(n)), F.lit(0).cast("long"))
+
+
+def extra_copies(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with ``__extra``: whether the row gets one more copy.
+
+    Rows alone with their key have their lead to go by. Of the others, a group's first rows get the extra
+    copies. They are written down with a piece each, so that no group is numbered in one task.
+    """
+    ahead = F.col("__rate") - F.floor("__rate") - F.col("__own.limit")
+    ties = groups.where("n > 1")
+    if ties.isEmpty():
+        return rows.withColumn("__extra", ahead >= number("__chance"))
+    ties = ties.select(*[F.col(c).alias(f"__tie_{c}") for c in ties.columns])
+    rows = rows.withColumn("__piece", F.floor(F.monotonically_increasing_id() / PIECE))
+    same = F.col("__of").eqNullSafe(F.col("__tie_of"))
+    same &= (F.col("__size") == F.col("__tie_size")) & (F.col("__chance") == F.col("__tie_chance"))
+    alone = rows.join(ties, same, "left_anti").withColumn("__extra", ahead >= number("__chance"))
+    many = stored(rows.join(ties, same).drop("__tie_of", "__tie_size", "__tie_chance"), "mix-ties")
+    key = ["__of", "__size", "__chance"]
+    pieces = many.groupBy(*key, "__piece").agg(F.count("*").alias("__rows"))
+    before = W.partitionBy(*key).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    pieces = pieces.select(
+        *[F.col(c).alias(f"{c}_p") for c in (*key, "__piece")], F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
+    )
+    same = F.col("__of").eqNullSafe(F.col("__of_p"))
+    for c in (*key[1:], "__piece"):
+        same &= F.col(c) == F.col(f"{c}_p")
+    many = many.withColumn("__at", F.row_number().over(W.partitionBy(*key, "__piece").orderBy("__piece"))).join(pieces, same)
+    many = many.withColumn("__number", number("__chance"))
+    many = many.withColumn("__extra", F.col("__before") + F.col("__at") <= beyond(ahead, "__tie_n", "__number"))
+    return alone.unionByName(many.select(*alone.columns))
 
 
 def mix(
@@ -188,19 +240,20 @@ def mix(
     source: str = "source",
 ) -> DataFrame:
     """``docs`` with size, source_size, target, rate, copies and taken (words of all copies)."""
+    chance = F.xxhash64(F.col(doc_id), F.col(text))
     sized = docs.select(
         F.col(source).alias("of"),
         word_count(F.col(text)).alias("size"),
-        F.xxhash64(F.col(doc_id)).alias("chance"),
+        chance.alias("chance"),
     )
-    sized = stored(sized, "mix-sizes")
-    counts = stored(sized.groupBy(F.col("of").alias("source"), "size").agg(F.count("*").alias("n")), "mix-counts")
+    groups = stored(sized.groupBy("of", "size", "chance").agg(F.count("*").alias("n")), "mix-groups")
+    counts = stored(groups.groupBy(F.col("of").alias("source"), "size").agg(F.sum("n").alias("n")), "mix-counts")
     sizes = counts.groupBy("source").agg(
         F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("documents")
     )
     goal = stored(targets(sizes, weights, most), "mix-goal")
     state = solve(counts, goal, most)
-    solved = stored(rounding(sized, state, most), "mix-solved")
+    solved = stored(rounding(groups, state, most), "mix-solved")
     names = {c: f"solved_{c}" for c in solved.columns}
     solved = solved.select(*[F.col(c).alias(names[c]) for c in solved.columns])
     own = F.struct(
@@ -212,16 +265,15 @@ def mix(
     )
     kept = [c for c in docs.columns if c not in RESULT]
     joined = docs.select(
-        *kept, F.col(source).alias("__of"), word_count(F.col(text)).alias("__size"), F.xxhash64(F.col(doc_id)).alias("__chance")
+        *kept, F.col(source).alias("__of"), word_count(F.col(text)).alias("__size"), chance.alias("__chance")
     )
     joined = joined.join(solved, F.col("__of").eqNullSafe(F.col("solved_source"))).withColumn("__own", own)
     joined = joined.select(*kept, "__of", "__size", "__chance", "__own")
     size = F.col("__size")
     power = F.col("__own.tilt") * size / F.col("__own.mean")
     rate = F.when(size > 0, F.exp(F.least(power, F.lit(math.log(most))))).otherwise(F.lit(1.0))
-    joined = joined.withColumn("__rate", rate)
-    ahead = F.col("__rate") - F.floor("__rate") - F.pmod(F.col("__chance"), F.lit(1 << 52)) / float(1 << 52)
-    extra = (size > 0) & (F.floor("__rate") < most) & (ahead >= F.col("__own.limit"))
+    joined = extra_copies(joined.withColumn("__rate", rate), groups)
+    extra = (size > 0) & (F.floor("__rate") < most) & F.col("__extra")
     copies = (F.floor("__rate") + F.when(extra, 1).otherwise(0)).cast("int")
     return joined.withColumn("__copies", copies).select(
         *kept,
