@@ -256,6 +256,20 @@ def test_all_fingerprints_within_the_radius(spark):
     assert {tuple(r) for r in found.collect()} == {x for x in near if x[2] <= 3}
 
 
+def test_hot_blocks_are_split(spark, monkeypatch):
+    rng = random.Random(2)
+    shared = rng.getrandbits(110)
+    values = [shared << 146 | rng.getrandbits(146) for _ in range(150)]
+    values += [v ^ sum(1 << b for b in rng.sample(range(256), rng.randrange(1, 6))) for v in values]
+    own = sorted({f"{v:064x}" for v in values})
+    near = {(a, b, (int(a, 16) ^ int(b, 16)).bit_count()) for i, a in enumerate(own) for b in own[i + 1 :]}
+    given = spark.createDataFrame([(m,) for m in own], "fingerprint string")
+    monkeypatch.setattr(fingerprints, "HOT", 20)
+    sizes = fingerprints.block_tables(given, 3).groupBy("table", "key").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+    assert {tuple(r) for r in fingerprints.within_radius(given, 3).collect()} == {x for x in near if x[2] <= 3}
+
+
 def test_section_tokens_add_up(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r.text for r in rows.select("text").collect()] + ODD

@@ -22,6 +22,7 @@ from vidstrata.llm.common import Words, groups, mix, powers, shuffle_partitions,
 
 BITS = 256
 EMPTY = bytes(BITS // 8)
+HOT = 1000  # so many fingerprints with one key of blocks are split by further blocks
 
 
 def fingerprint(terms: np.ndarray) -> bytes:
@@ -60,6 +61,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+STARTS = range(1, BITS // 4, 16)  # of the 64-bit numbers in the hex form
 RESULT = "doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 EDGE = ", part int, edge string, own string"
 NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "part", "edge", "own")
@@ -166,28 +168,47 @@ def simhash(docs: DataFrame, text: str = "text", into: str = "fingerprint") -> D
     return docs.withColumn(into, run(F.col(text)))
 
 
-def within_radius(prints: DataFrame, radius: int, fingerprint_column: str = "fingerprint", spare: int = 2) -> DataFrame:
-    """(a, b, distance), a < b: all pairs of different hex fingerprints at most ``radius`` bits apart.
+def block_tables(prints: DataFrame, radius: int, fingerprint_column: str = "fingerprint", spare: int = 2) -> DataFrame:
+    """(mark, table, key): two fingerprints at most ``radius`` bits apart have a table and key in common.
 
-    Permuted block tables: of radius + spare blocks, two such fingerprints agree on at least ``spare``.
-    A table for each choice of ``spare`` blocks has their bits as its key; only equal keys are compared.
-    Equal fingerprints are one row here, so copies make no pairs.
+    Of radius + spare blocks, two such fingerprints agree on at least ``spare``. A table for each choice of
+    ``spare`` blocks has their bits as its key. Where more than ``HOT`` have one key, the other bits are cut
+    into radius + 1 blocks, of which they agree on one at least, and each of them is added to the key.
     """
     n = radius + spare
     edges = [BITS * i // n for i in range(n + 1)]
-    starts = range(1, BITS // 4, 16)  # of the 64-bit numbers in the hex form
-    bits = [F.lpad(F.conv(F.substring("mark", s, 16), 16, 2), 64, "0") for s in starts]
+    bits = [F.lpad(F.conv(F.substring("mark", s, 16), 16, 2), 64, "0") for s in STARTS]
     own = prints.select(F.col(fingerprint_column).alias("mark")).where("mark IS NOT NULL").distinct()
     own = own.withColumn("bits", F.concat(*bits))
     keys = []
     for number, chosen in enumerate(combinations(range(n), spare)):
         parts = [F.substring("bits", edges[i] + 1, edges[i + 1] - edges[i]) for i in chosen]
-        keys.append(F.struct(F.lit(number).alias("table"), F.concat(*parts).alias("key")))
-    tables = own.select("mark", F.explode(F.array(*keys)).alias("k")).select("mark", "k.table", "k.key")
+        others = [F.substring("bits", edges[i] + 1, edges[i + 1] - edges[i]) for i in range(n) if i not in chosen]
+        keys.append(F.struct(F.lit(number).alias("table"), F.concat(*parts).alias("key"), F.concat(F.lit(""), *others).alias("rest")))
+    tables = own.select("mark", F.explode(F.array(*keys)).alias("k")).select("mark", "k.table", "k.key", "k.rest")
+    tables = stored(tables, "simhash-blocks")
+    hot = tables.groupBy("table", "key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).drop("n")
+    cold = tables.join(hot, ["table", "key"], "left_anti").select("mark", "table", "key")
+    size = F.length("rest")
+    further = []
+    for i in range(radius + 1):
+        start, end = (F.floor(size * j / (radius + 1)).cast("int") for j in (i, i + 1))
+        further.append(F.concat("key", F.lit(f":{i}:"), F.substring("rest", start + 1, end - start)))
+    split = tables.join(hot, ["table", "key"]).select("mark", "table", F.explode(F.array(*further)).alias("key"))
+    return cold.unionByName(split)
+
+
+def within_radius(prints: DataFrame, radius: int, fingerprint_column: str = "fingerprint", spare: int = 2) -> DataFrame:
+    """(a, b, distance), a < b: all pairs of different hex fingerprints at most ``radius`` bits apart.
+
+    Permuted block tables; only equal keys are compared. Equal fingerprints are one row here, so copies make
+    no pairs.
+    """
+    tables = block_tables(prints, radius, fingerprint_column, spare)
     left, right = tables.withColumnRenamed("mark", "a"), tables.withColumnRenamed("mark", "b")
     near = left.join(right, ["table", "key"]).where("a < b")
     distance = F.lit(0)
-    for s in starts:
+    for s in STARTS:
         one, two = (F.conv(F.substring(c, s, 16), 16, -10).cast("long") for c in ("a", "b"))
         distance = distance + F.bit_count(one.bitwiseXOR(two))
     return near.select("a", "b", distance.cast("int").alias("distance")).where(F.col("distance") <= radius).distinct()
