@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert set(queries.SQL) <= set(__spark_entry__.oracle_sql())
 
@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in queries.SQL])
 def test_query_covers_its_table(spark, name):
     found = queries.QUERIES[name](spark, SF)
-    key, table = ("page_id", "pages") if name.startswith("op1_") else ("doc_id", "documents")
+    key, table = {"op1": ("page_id", "pages"), "op13": ("vec_id", "embeddings")}.get(name.split("_")[0], ("doc_id", "documents"))
     ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     assert {r[0] for r in found.select(key).collect()} == ids
 

@@ -148,7 +148,7 @@ def test_language_of_odd_texts(spark):
 
 
 def test_toxicity_of_held_out_texts(spark):
-    rows, labels = (spark.read.parquet(f"/root/testdata/check_s/{t}.parquet").where("doc_id < 12000") for t in ("documents", "labels"))
+    rows, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = held_out(F.col("doc_id"))
     model = toxicity.fit(rows.where(~out), labels)
     found = toxicity.score(rows.where(out).join(labels, "doc_id"), model).select("toxic", "toxicity.score").collect()

@@ -115,6 +115,8 @@ PLAIN_WORDS = _table([0x20, *range(0x09, 0x0E)], lower=True)
 CASED_WORDS = _table([0x20, *range(0x09, 0x0E)], lower=False)
 # Runs of letters, digits and bytes of other characters than ASCII, as they are.
 ALNUM_WORDS = _table([i for i in range(128) if not chr(i).isalnum()], lower=False)
+# The same runs with A-Z as a-z
+LOWER_ALNUM_WORDS = _table([i for i in range(128) if not chr(i).isalnum()], lower=True)
 
 
 class Words:

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidstrata.llm import fingerprints, html_text, language, mixing, packing, repeats, similar, token_counts, toxicity, vector_search
+from vidstrata.llm import (
+    fingerprints,
+    html_text,
+    language,
+    lattice,
+    mixing,
+    packing,
+    ranked_search,
+    repeats,
+    similar,
+    token_counts,
+    toxicity,
+    vector_search,
+    whitening,
+)
 from vidstrata.llm.common import held_out, small_batches
 from vidstrata.session import tune
 
@@ -90,6 +104,23 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "rate", "copies", "taken")
 
 
+@query
+def op11_near_vectors(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    whole = rows.select("vec_id", whitening.on_grid(F.col("embedding"), 1024, 100_000).alias("vector"))
+    return whitening.whiten(whole, components=8)
+
+
 SQL = {
     "op2_similar_documents": r"""
 WITH RECURSIVE words AS (
@@ -125,5 +156,48 @@ scored AS (
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+    "op11_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT r, vec_id, x, sqrt(list_inner_product(x, x)) AS norm FROM v),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b
+    ON a.r <> b.r AND list_inner_product(a.x, b.x) / (a.norm * b.norm) >= 0.95),
+reach AS (SELECT a AS node, a AS seen FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+components AS (SELECT node, min(u.vec_id) AS least FROM reach JOIN u ON u.r = reach.seen GROUP BY node),
+degrees AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT u.vec_id, coalesce(degrees.n, 0) AS n_links, coalesce(least, u.vec_id) AS component_id, coalesce(least, u.vec_id) = u.vec_id AS kept
+FROM u LEFT JOIN components ON components.node = u.r LEFT JOIN degrees ON degrees.node = u.r
+UNION ALL
+SELECT vec_id, 0, vec_id, true FROM embeddings
+WHERE NOT coalesce(embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false)
+""",
+    "op12_ranked_search": r"""
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+sizes AS (SELECT doc_id, r, len(w) AS n FROM terms WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+asked AS (
+  SELECT DISTINCT item_id, t FROM benchmark, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS u(t)),
+counts AS (SELECT r, t, count(*) AS tf FROM terms, unnest(w) AS u(t) GROUP BY r, t),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM counts, corpus GROUP BY t, docs),
+scores AS (
+  SELECT a.item_id, s.doc_id, s.r,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // total)))))::BIGINT AS score
+  FROM asked a JOIN weights USING (t) JOIN counts c USING (t) JOIN sizes s ON s.r = c.r, corpus
+  GROUP BY a.item_id, s.doc_id, s.r),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """,
 }
