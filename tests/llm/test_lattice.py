@@ -92,8 +92,9 @@ def planted(seed=0):
 ODD = [None, [], [0.0] * 24, [None] + [1.0] * 23, [float("nan")] * 24, [float("inf")] + [1.0] * 23, [1.0], [2.0, 0.0], [-0.0, 3.0], [0.0, 1.0], [3e38] * 24, [1e-40] * 24]
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_links_and_components_equal_brute_force(spark, block):
+@pytest.mark.parametrize("block", [lattice.BLOCK, 8])
+def test_links_and_components_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(lattice, "ROOTS", 1)
     vectors = planted() + ODD
     ids = [int(i) for i in np.random.default_rng(3).permutation(len(vectors)) * 3]
     rows = [(i, v, "own", 1, 2) for i, v in zip(ids, vectors, strict=True)]
@@ -158,8 +159,9 @@ def test_blocks_without_a_look(spark):
 
 
 def test_forest():
-    root = lattice.forest(np.array([0, 5, 2, 3]), np.array([4, 4, 3, 6]), 8)
+    root = lattice.forest(np.arange(8), np.array([0, 5, 2, 3]), np.array([4, 4, 3, 6]))
     assert root.tolist() == [0, 1, 2, 2, 0, 0, 2, 7]
+    assert lattice.forest(root, np.array([7]), np.array([6])).tolist() == [0, 1, 2, 2, 0, 0, 2, 2]
 
 
 def test_unit_rows_of_any_length():

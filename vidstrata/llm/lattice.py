@@ -11,8 +11,9 @@
 4. Links run within components only. So each component is compared within itself, every vector with every
    other, and counts its links: a link that no table has found counts as well, once its ends are in one component.
 
-Cells and components of more than ``BLOCK`` vectors are cut into blocks by the hash of the vector. Blocks are compared
-by their centres first: when the angles between the centres and to the farthest members leave no doubt, all
+Cells and components of more than ``BLOCK`` vectors are cut into blocks by the hash of the vector, of as many vectors or, in
+very large groups, of some roots of the group's size, so that blocks and pairs of blocks stay few. Blocks are compared by their
+centres first: when the angles between the centres and to the farthest members leave no doubt, all
 or none of the pairs are links without a look at them. What is left is compared block against block, a task for
 each pair. Pairs of vectors are never rows.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +42,12 @@ BASE_ROWS = 1e5
 PROBES = 3
 MEETINGS = 4.0
 LEAST_SCALE = 1.2
-BLOCK = 2048
+BLOCK = 256
+ROOTS = 8
 SMALL = 32
 BATCH_ROWS = 8192
+# Entries of a matrix of cosines, and linked pairs, that a task holds at a time
+CELLS = 1 << 21
 # Chance that two random unit vectors share a cell of E8 at scale 1, projections being about normal: (4 pi)^-4
 MEET = (4 * math.pi) ** -4
 
@@ -135,9 +140,11 @@ def usable(vector: Column) -> Column:
 # --- comparing the vectors of a group with each other ------------------------------------------------------------
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Of each of n nodes the smallest one it reaches by the links a-b."""
-    root = np.arange(n)
+def forest(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each node the smallest one it reaches, given what it reached before and the links a-b."""
+    nodes = np.arange(len(root))
+    a, b = np.concatenate([a, nodes]), np.concatenate([b, root])
+    root = nodes
     while True:
         low = np.minimum(root[a], root[b])
         new = root.copy()
@@ -149,29 +156,37 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def linked(unit: np.ndarray, tile: np.ndarray, side: np.ndarray, split: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of rows within each tile; rows come tile by tile. In a split tile sides meet, not their own rows."""
+def linked(unit: np.ndarray, tile: np.ndarray, side: np.ndarray, split: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of rows within each tile, some ``CELLS`` at a time.
+
+    Rows come tile by tile. In a split tile the sides meet, not their own rows.
+    """
     first = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
     sizes = np.diff(np.append(first, len(tile)))
     at, size_of = np.repeat(first, sizes), np.repeat(sizes, sizes)
-    left, right = [], []
     small = size_of <= SMALL
     rows = np.arange(len(tile))
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def kept(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = ~split[a] | (side[a] != side[b])
+        return a[keep], b[keep]
+
     for k in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
         a = rows[: len(rows) - k][(small & (rows + k < at + size_of))[: len(rows) - k]]
-        hit = np.einsum("ij,ij->i", unit[a], unit[a + k]) >= least
-        left.append(a[hit])
-        right.append(a[hit] + k)
+        a = a[np.einsum("ij,ij->i", unit[a], unit[a + k]) >= least]
+        held.append(kept(a, a + k))
     for begin, size in zip(first[sizes > SMALL], sizes[sizes > SMALL], strict=True):
         own = unit[begin : begin + size]
-        for low in range(0, size, 512):
-            part = own[low : low + 512] @ own[low:].T
-            a, b = np.nonzero(np.triu(part >= least, 1))
-            left.append(begin + low + a)
-            right.append(begin + low + b)
-    a, b = (np.concatenate([*x, np.empty(0, dtype=np.int64)]).astype(np.int64) for x in (left, right))
-    keep = ~split[a] | (side[a] != side[b])
-    return a[keep], b[keep]
+        step = max(CELLS // int(size), 1)
+        for low in range(0, size, step):
+            a, b = np.nonzero(np.triu(own[low : low + step] @ own[low:].T >= least, 1))
+            held.append(kept(begin + low + a, begin + low + b))
+            if sum(len(x) for x, _ in held) > CELLS:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
 def tiles(df: DataFrame, least: float, width: int, counting: bool) -> DataFrame:
@@ -186,12 +201,15 @@ def tiles(df: DataFrame, least: float, width: int, counting: bool) -> DataFrame:
         change = np.any([k[1:] != k[:-1] for k in keys], axis=0)
         tile = np.concatenate([[0], np.cumsum(change)])
         node, weight = t.column("node").to_numpy(), t.column("weight").to_numpy()
-        a, b = linked(unit_rows(t.column("vector"), width), tile, t.column("side").to_numpy(), keys[1] != keys[2], least)
+        links, root = np.zeros(len(node)), np.arange(len(node))
+        for a, b in linked(unit_rows(t.column("vector"), width), tile, t.column("side").to_numpy(), keys[1] != keys[2], least):
+            if counting:
+                links += np.bincount(a, weight[b], len(node)) + np.bincount(b, weight[a], len(node))
+            else:
+                root = forest(root, a, b)
         if counting:
-            links = np.bincount(a, weight[b], len(node)) + np.bincount(b, weight[a], len(node))
             out = node, np.rint(links).astype(np.int64)
         else:
-            root = forest(a, b, len(node))
             some = root != np.arange(len(node))
             out = node[some], node[root[some]]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["node", "links" if counting else "root"])
@@ -255,7 +273,8 @@ def judged(pairs: DataFrame, least: float, width: int) -> DataFrame:
 
 def compared(rows: DataFrame, least: float, width: int, counting: bool, block: int = BLOCK) -> DataFrame:
     """Rows (group, size, node, weight, vector), each group compared within itself; results as of ``tiles``."""
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    rows_of_block = F.greatest(F.lit(block), ROOTS * F.sqrt("size"))
+    blocks = F.when(F.col("size") <= block, 1).otherwise(F.ceil(F.col("size") / rows_of_block)).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.col("node"), F.lit(1)), "blocks").cast("int"))
     zero = F.lit(0)
     small = rows.where("blocks = 1").withColumns({"low": zero, "high": zero, "side": zero})
@@ -315,7 +334,8 @@ def linked_classes(classes: DataFrame, rows: int, width: int, least: float, tabl
     met = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("home").alias("home")).where("size > 1 AND home")
     together = entered.select("cell", "node").join(met.select("cell", "size"), "cell")
     meeting = together.join(classes.select("node", F.col("copies").alias("weight"), "vector"), "node")
-    edges = compared(stored(meeting.withColumnRenamed("cell", "group"), "meetings"), least, width, False, block)
+    # a group meets in many cells: larger blocks, so that few of them need their centres
+    edges = compared(stored(meeting.withColumnRenamed("cell", "group"), "meetings"), least, width, False, 8 * block)
     edges = stored(edges.distinct(), "edges")
     roots = components(edges, "node", "root")
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
