@@ -18,7 +18,7 @@ if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="catalog-")},
+        **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="catalog-"), "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidstrata.operators.keys import first_by_key
-from vidstrata.sources.files import instant
+from vidstrata.sources.files import instant, utc
 
 
 def after_key(df: DataFrame, last: int, key: str = "id") -> DataFrame:
@@ -26,6 +26,11 @@ def between(df: DataFrame, since, until=None, column: str = "created_at") -> Dat
     return rows if until is None else rows.where(moment < instant(until))
 
 
+def days_of(since, until=None) -> tuple[str, str | None]:
+    """First and last day (``yyyy-MM-dd``) that rows with ``since <= time < until`` can lie in."""
+    return utc(since).strftime("%Y-%m-%d"), None if until is None else utc(until).strftime("%Y-%m-%d")
+
+
 def snapshot(df: DataFrame, order: list[str], key: str = "_id") -> DataFrame:
     """A full reload: one row per key, the first by ``order``."""
     return first_by_key(df, [key], order)

@@ -50,9 +50,13 @@ def upsert_channels(
     rows: DataFrame,
     order: tuple[str, ...] = ROW_ORDER,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    last_id: int | None = None,
 ) -> DataFrame:
     """The channel table after applying ``rows`` one by one in ``order``.
 
+    ``channels`` may be a part of the table that holds all rows of the usernames in ``rows``; ``last_id`` is then
+    the highest id of the whole table.
+
     A new username gets the default columns and one update for each repeat; a known one gets the
     last creation time and one update per row (an unknown update count stays unknown).
     One full outer join, both sides with one row per username, so no username can be hot in the
@@ -67,7 +71,8 @@ def upsert_channels(
             "update_count": F.col("update_count") + F.coalesce(F.col("_times"), F.lit(0)),
         }
     )
-    last_id = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
+    if last_id is None:
+        last_id = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
     unknown = merged.where("_known IS NULL").select("username", "_times", "_created_at")
     fresh = number_rows(unknown, "username", last_id)
     defaults = {name: F.lit(value) for name, value in NEW_CHANNEL.items()}

@@ -7,6 +7,7 @@ of them run over whole tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -524,6 +525,62 @@ def csv_daily_load(spark, sf_dir):
     return _without_new_ids(tables.read("channels"), known)
 
 
+def _write_refused_drops(spark, sf_dir, root: str) -> None:
+    """Beside the good drops of the second day: one without the columns it must have, one blank, one of 0 bytes."""
+    rows = _event_channels(spark, sf_dir).select(F.col("username").alias("name"), F.col("created_at").cast("string").alias("when"))
+    bad = f"{root}/{DROP_DAYS[1]} drop"
+    rows.write.option("header", True).csv(f"{bad}/other columns")
+    for name, text in (("blank", " \n"), ("empty", "")):
+        _write_file(spark, f"{bad}/{name}/0.csv", text)
+
+
+def _write_file(spark, path: str, text: str = "") -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    stream.writeBytes(text)
+    stream.close()
+
+
+@query
+def drops_with_refused_file(spark, sf_dir):
+    """Good and bad drops of one day: the good ones load, each bad one is refused for its own reason."""
+    tables, root = new_tables(spark), work_dir(spark, "csv")
+    known = binding.channels(spark, sf_dir)
+    tables.replace({"channels": known})
+    _write_csv_drops(spark, sf_dir, root)
+    _write_refused_drops(spark, sf_dir, root)
+    for batch in ("one", "again"):
+        daily_run.load_channel_drops(tables, root, DROPS_AS_OF, batch)
+    folder = F.regexp_extract("file_name", "^(.*)/[^/]*$", 1)
+    # the writer itself leaves files of 0 bytes where a part has no rows
+    by_writer = F.col("file_name").contains("/part-") & (F.col("reason") == "no lines")
+    refused = tables.read("csv_refused").where(~by_writer).select(folder.alias("drop"), "reason").distinct()
+    loaded = tables.read("csv_files").select(folder.alias("drop"), F.lit("loaded").alias("reason")).distinct()
+    updates = tables.read("channels").agg(F.sum("update_count"), F.count(F.lit(1))).first()
+    return refused.unionByName(loaded).select(
+        "drop", "reason", F.lit(updates[0]).alias("updates"), F.lit(updates[1]).alias("channels")
+    )
+
+
+@query
+def files_with_empty_drop(spark, sf_dir):
+    """Files of 0 bytes beside others, by folder and by what the listing is asked for."""
+    root = work_dir(spark, "empty")
+    documents = binding.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    documents.write.partitionBy("source").json(root)
+    for row in documents.select("source").distinct().toLocalIterator():
+        _write_file(spark, f"{root}/source={row['source']}/no lines.json")
+    folder = F.split("key", "/")[0].alias("folder")
+    slices = {"all": (None, None), "since": ("2000-01-01", None), "until": (None, "2000-01-01")}
+    parts = [
+        files.modified_since(spark, root, *bounds).groupBy(folder).agg(
+            F.count_if(F.col("length") == 0).alias("empty"), F.max(F.col("length") > 0).alias("with_lines")
+        ).select(F.lit(name).alias("asked"), "folder", "empty", "with_lines")
+        for name, bounds in slices.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def csv_bulk_load(spark, sf_dir):
     """Channels written as bulk CSV with empty, quoted and surplus fields, and loaded back."""
@@ -600,6 +657,21 @@ def time_increment(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def documents_by_time(spark, sf_dir):
+    """Stored documents read in three slices of time, each from its own folders."""
+    tables, root = new_tables(spark), work_dir(spark, "drops")
+    sample_lines.lines(spark, sf_dir).select("value").write.text(root)
+    daily_run.append_documents(tables, json_lines.read_lines(spark, root, suffix=".txt"), "one", "daily")
+    first, second = CREATED_CUTS
+    slices = (("1900-01-01", first), (first, second), (second, None))
+    parts = []
+    for i, (since, until) in enumerate(slices):
+        rows = increments.between(tables.read_range("documents", *increments.days_of(since, until)), since, until)
+        parts.append(rows.select(F.lit(i).alias("slice"), "_id", "created_at"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def key_page(spark, sf_dir):
     """The page of 100 channels that follows the first 700."""
@@ -679,6 +751,38 @@ def silver_rebuilt(spark, sf_dir):
     return gold.report(tables, "channel_growth")
 
 
+@query
+def silver_late_channels(spark, sf_dir):
+    """Videos and channels that come in turn, each joined with what waits on the other side: the plain join."""
+    tables = new_tables(spark)
+    channels, videos = binding.channels(spark, sf_dir), binding.videos(spark, sf_dir)
+    early_channel = F.col("created_at") < CHANNEL_CUT
+    early_video = F.col("created_at") < CREATED_CUTS[1]
+    tables.append("bronze_videos", videos.where(early_video), "one")
+    silver_view.refresh(tables, AS_OF, late_channels=True)
+    tables.append("bronze_channels", channels.where(early_channel), "one")
+    silver_view.refresh(tables, AS_OF, late_channels=True)
+    tables.append("bronze_videos", videos.where(~early_video), "two")
+    tables.append("bronze_channels", channels.where(~early_channel), "two")
+    for _ in range(2):
+        silver_view.refresh(tables, AS_OF, late_channels=True)
+    return tables.read("silver_events")
+
+
+@query
+def gold_late_channels(spark, sf_dir):
+    """The growth report after late channels were caught up with: as if they had been there before."""
+    tables = new_tables(spark)
+    channels = binding.channels(spark, sf_dir)
+    early = F.col("created_at") < CHANNEL_CUT
+    tables.append("bronze_channels", channels.where(early), "one")
+    tables.append("bronze_videos", binding.videos(spark, sf_dir), "one")
+    silver_view.refresh(tables, AS_OF, late_channels=True)
+    tables.append("bronze_channels", channels.where(~early), "two")
+    silver_view.refresh(tables, AS_OF, late_channels=True)
+    return gold.report(tables, "channel_growth")
+
+
 @query
 def silver_after_cut_append(spark, sf_dir):
     """An append cut off before its commit is not seen, and is taken in once when it is repeated."""
@@ -736,14 +840,13 @@ def catalog_tables(spark, sf_dir):
     tables.replace({"bronze_videos": videos})
     silver_view.refresh(tables, AS_OF)
     gold.compact(tables)
-    tables.register()
-    names = ("bronze.channels", "bronze.videos", "silver.events", "gold.channel_growth", "documents")
-    found = audit.stage_counts(**{name: spark.table(name) for name in names})
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    made = tables.register(prefix)
+    names = ("bronze.channels", "bronze.videos", "silver.events", "gold.channel_growth", "lake.documents")
+    found = audit.stage_counts(**{name.removeprefix("lake."): spark.table(prefix + name) for name in names})
     # the views are resolved; the session's catalog is left as it was
-    for layer in ("bronze", "silver", "gold"):
-        spark.sql(f"DROP DATABASE {layer} CASCADE")
-    for name in ("documents", "channels", "csv_files", "rejects", "run_audit"):
-        spark.sql(f"DROP VIEW {name}")
+    for database in made:
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
     return found
 
 

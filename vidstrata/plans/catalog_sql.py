@@ -363,6 +363,15 @@ SQL = {
         SELECT count(*) AS n, count(*) AS distinct_ids, 1 AS first_id, count(*) AS last_id
         FROM names""",
     "csv_daily_load": upserted("ts < TIMESTAMP '2024-01-20'"),
+    "drops_with_refused_file": f"""WITH after AS ({upserted("ts < TIMESTAMP '2024-01-20'")}),
+        sums AS (SELECT CAST(sum(update_count) AS BIGINT) AS updates, count(*) AS channels FROM after)
+        SELECT drop, reason, updates, channels FROM sums, (VALUES
+          ('2024-01-10 drop', 'loaded'), ('2024-01-20 drop', 'loaded'), ('undated', 'no date in key'),
+          ('2024-01-20 drop/other columns', 'missing columns: _id, created_at'),
+          ('2024-01-20 drop/blank', 'no lines'), ('2024-01-20 drop/empty', 'no lines')) AS t(drop, reason)""",
+    "files_with_empty_drop": """
+        SELECT asked, 'source=' || source AS folder, 1 AS empty, true AS with_lines
+        FROM (SELECT DISTINCT source FROM documents), (VALUES ('all'), ('since')) AS t(asked)""",
     "csv_bulk_load": f"""{WITH_CHANNELS}
         SELECT username, total_video_visit, video_count, start_date_timestamp, followers_count,
           CASE WHEN id % 5 = 0 THEN '' ELSE 'a "b", ' || country END AS country, update_count,
@@ -389,6 +398,10 @@ SQL = {
         SELECT CASE WHEN created_at < DATE '1997-01-01' THEN 0
           WHEN created_at < DATE '1999-07-01' THEN 1 ELSE 2 END AS slice, id,
           {moment('created_at')} AS created_at FROM videos""",
+    "documents_by_time": f"""{DAILY}
+        SELECT CASE WHEN created < TIMESTAMP '1997-01-01' THEN 0
+          WHEN created < TIMESTAMP '1999-07-01' THEN 1 ELSE 2 END AS slice, _id, {moment('created')} AS created_at
+        FROM documents_ok WHERE created IS NOT NULL""",
     "key_page": f"""{WITH_CHANNELS}
         SELECT id, username FROM channels WHERE id > 700 ORDER BY id LIMIT 100""",
     "dedup_first_seen": """
@@ -410,6 +423,8 @@ SQL = {
         SELECT video_id, channel_id, channel_username FROM silver
         WHERE video_created_at >= DATE '1999-07-01' OR channel_created_at < DATE '2025-04-01'""",
     "silver_rebuilt": GROWTH,
+    "silver_late_channels": f"""{SILVER_ROWS}""",
+    "gold_late_channels": GROWTH,
     "silver_after_cut_append": f"{WITH_SILVER} SELECT video_id, channel_id, channel_username FROM silver",
     "rebuild_after_crash": GROWTH,
     "compact_then_replay": TOP,

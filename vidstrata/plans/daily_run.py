@@ -16,13 +16,17 @@ from vidstrata.operators import increments, quality
 from vidstrata.operators import normalize as n
 from vidstrata.operators.audit import Audit, Counts
 from vidstrata.operators.keys import first_by_key, unseen
-from vidstrata.operators.upsert import mark_files, number_rows, upsert_channels
-from vidstrata.plans.tables import Tables
+from vidstrata.operators.upsert import number_rows, upsert_channels
+from vidstrata.plans.tables import Tables, bucket_of
 from vidstrata.session import remove_folder, size_shuffles
 from vidstrata.sources import channel_csv, files, json_lines
 from vidstrata.streaming import silver_view
 
 
+# A batch of documents from more days is stored in folders of months.
+MANY_DAYS = 62
+
+
 @dataclass(frozen=True)
 class Run:
     """What a run takes in: JSON files modified in [since, until), CSV drops dated up to as_of."""
@@ -45,23 +49,34 @@ def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str)
     """Normalise, keep refused lines apart, and store documents whose ``_id`` is new.
 
     The parsed lines are written once and read three times, so no line is parsed twice; what was written
-    for that goes when the batch is committed. A batch that is there is not read again.
+    for that goes when the batch is committed. A batch that is there is not read again. Which ids are stored
+    is told by a table of ids in hash folders, of which only those are read that the new ids fall into.
     """
     if tables.holds("documents", batch):
         return Counts(skipped=True)
-    size_shuffles(tables.spark, lines, tables.read("documents").select("_id"))
+    if not tables.batches("document_keys") and tables.batches("documents"):  # a root from before there were ids
+        tables.replace({"document_keys": tables.read("documents").select("_id")})
+    size_shuffles(tables.spark, lines, tables.read("document_keys"))
     staging = f"{tables.root}/staging/documents/batch={batch}"
     n.normalize(lines, dialect).write.mode("overwrite").parquet(staging)
     staged = tables.spark.read.parquet(staging)
     bad = n.rejected(staged)
     good = n.accepted(staged, *json_lines.LINE_ORDER)
     firsts = first_by_key(good, ["_id"], list(json_lines.LINE_ORDER))
-    new = unseen(firsts, tables.read("documents", without_batch=batch), ["_id"])
-    counts = Counts(
-        rows_in=staged.count(),
-        rows_rejected=tables.append("rejects", bad, f"json-{batch}"),
-        rows_out=tables.append("documents", new.drop(*json_lines.LINE_ORDER), batch),
+    days = F.count_distinct(F.to_date("created_at"))
+    keys = good.agg(F.collect_set(bucket_of("_id")).alias("buckets"), days.alias("days")).first()  # BUCKETS at most
+    new = unseen(firsts, tables.read_parts("document_keys", keys["buckets"]), ["_id"])
+    noted = f"json-{batch}"
+    held = tables.holds("rejects", noted)  # by a run that was cut off between the two commits
+    rejected = tables.read_batch("rejects", noted).count() if held else tables.append("rejects", bad, noted)
+    stored = tables.append_all(
+        {"documents": new.drop(*json_lines.LINE_ORDER)},
+        batch,
+        then=lambda written: {"document_keys": written["documents"].select("_id")},
+        derived=("document_keys",),
+        by_month=keys["days"] > MANY_DAYS,
     )
+    counts = Counts(rows_in=staged.count(), rows_rejected=rejected, rows_out=stored["documents"])
     remove_folder(tables.spark, staging)
     return counts
 
@@ -73,7 +88,8 @@ def append_videos(tables: Tables, batch: str, created_since=None) -> Counts:
     documents = tables.read_batch("documents", batch)
     taken = documents
     if created_since is not None:
-        taken = increments.between(documents, created_since)
+        first, _ = increments.days_of(created_since)
+        taken = increments.between(tables.read_range("documents", first, batch=batch), created_since)
     return Counts(
         rows_in=documents.count(),
         rows_out=tables.append("bronze_videos", n.flatten(taken), batch),
@@ -92,44 +108,61 @@ def reload_videos(tables: Tables) -> None:
 def load_channel_drops(tables: Tables, root: str, as_of, batch: str) -> Counts:
     """Upsert the due CSV drops and mark them; both become visible by one commit.
 
-    The drops are parsed once and the channel table is read once: both steps are written down.
-    Only names of the due files reach the driver, where Spark's own file listing lives anyway.
+    Each drop stands for itself: one without a date, without content or without a required column is refused with its
+    reason and noted in ``csv_refused``, the others are loaded. A refused drop comes up again when it is changed.
+
+    The folders of the due drops are read once, as lines, and joined with the names that are due. Of the channel table
+    only the hash folders are read and written that the drops' usernames fall into.
     """
-    ledger = tables.read("csv_files")
-    pending = files.pending_drops(tables.spark, root, ledger, as_of)
-    due, invalid = [], []
-    for row in pending.where("state <> 'future'").toLocalIterator():
-        (due if row["state"] == "due" else invalid).append((row["path"], row["key"]))
-    bad = tables.spark.createDataFrame(
-        [(path, key, "no date in key") for path, key in sorted(invalid)],
-        "source string, raw string, reason string",
-    )
-    if not due:
-        return Counts(0, 0, tables.append("rejects", bad, f"csv-{batch}"))
-    due_lines = tables.spark.read.text([path for path, _ in due])
-    size_shuffles(tables.spark, tables.read("channels"), due_lines)
+    spark = tables.spark
+    ledger, refused = tables.read("csv_files"), tables.read("csv_refused")
+    name = f"{batch}-{tables.number():012d}"
     staging = f"{tables.root}/staging/channels/batch={batch}"
 
-    def stage(name: str):
+    def stage(purpose: str):
         def write(df: DataFrame) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{staging}/{name}")
-            return tables.spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+            df.write.mode("overwrite").parquet(f"{staging}/{purpose}")
+            return spark.read.schema(df.schema).parquet(f"{staging}/{purpose}")
 
         return write
 
-    drops = channel_csv.read_daily(tables.spark, [path for path, _ in sorted(due)])
-    good, refused = channel_csv.daily_rows(drops, stage("rows"))
-    names = tables.spark.createDataFrame([(key,) for _, key in due], "key string")
-    rejected = tables.append("rejects", bad.unionByName(refused), f"csv-{batch}")
-    stored = tables.replace(
-        {
-            "channels": upsert_channels(tables.read("channels"), good, stage=stage("merged")),
-            "csv_files": mark_files(ledger, names),
-        },
-        batch,
+    pending = files.pending_drops(spark, root, ledger, as_of, refused=refused).where("state <> 'future'")
+    pending = stage("drops")(pending.select("path", "key", "modified", "length", "state"))
+    full = pending.where("state = 'due' AND length > 0")
+    folders = [row["folder"] for row in full.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()]
+    if folders:
+        lines = channel_csv.read_lines(spark, folders, full)
+        size_shuffles(spark, tables.read("channels"), spark.read.text(folders))
+        lines = stage("lines")(lines)
+        found = stage("headers")(channel_csv.placed(channel_csv.headers(lines)))
+    else:
+        found = spark.createDataFrame([], "source_path string, missing string")
+    # the state of each drop: done, or refused with a reason
+    looked_at = pending.join(found.select(F.col("source_path").alias("path"), "missing"), "path", "left")
+    reason = (
+        F.when(F.col("state") == "invalid", "no date in key")
+        .when(F.col("missing").isNull(), "no lines")
+        .when(F.col("missing") != "", F.concat(F.lit("missing columns: "), "missing"))
     )
-    remove_folder(tables.spark, staging)
-    return Counts(rows_in=len(due), rows_out=stored["channels"], rows_rejected=rejected)
+    drops = stage("states")(looked_at.withColumn("reason", reason).select("path", "key", "modified", "reason"))
+    bad = drops.where("reason IS NOT NULL")
+    done = drops.where("reason IS NULL").select(F.col("key").alias("file_name"), F.lit(True).alias("inserted"))
+    appended = {
+        "csv_refused": bad.select(F.col("key").alias("file_name"), "modified", "reason"),
+        "rejects": bad.select(F.col("path").alias("source"), F.col("key").alias("raw"), "reason"),
+    }
+    loaded, replaced = done.count(), {}
+    if loaded:
+        rows = channel_csv.rows_of(lines, found.where("missing = ''"))
+        good, broken = channel_csv.daily_rows(rows, stage("rows"))
+        touched = [row["b"] for row in good.select(bucket_of("username").alias("b")).distinct().collect()]  # BUCKETS at most
+        known = tables.read_parts("channels", touched)
+        after = upsert_channels(known, good, stage=stage("merged"), last_id=tables.highest("channels", "id"))
+        appended |= {"csv_files": done, "rejects": appended["rejects"].unionByName(broken)}
+        replaced = {"channels": (after, touched)} if touched else {}
+    stored = tables.change(appended, replaced, name, watermark_of="id")
+    remove_folder(spark, staging)
+    return Counts(rows_in=loaded, rows_out=stored.get("channels", 0), rows_rejected=stored["rejects"])
 
 
 def bulk_load_channels(tables: Tables, path: str, strict: bool = True) -> Counts:
@@ -157,7 +190,7 @@ def bulk_load_channels(tables: Tables, path: str, strict: bool = True) -> Counts
         )
         rejected = tables.append("rejects", rejects, "bulk-channels")
         rows = first_by_key(good, ["username"], list(channel_csv.ROW_ORDER)).select(rows.columns)
-    loaded = tables.replace({"channels": number_rows(rows, "username", 0)})
+    loaded = tables.replace({"channels": number_rows(rows, "username", 0)}, watermark_of="id")
     return Counts(
         rows_in=raw.count(), rows_out=loaded["channels"], rows_rejected=rejected
     )

@@ -34,10 +34,17 @@ def refresh_append(tables: Tables, new_events: DataFrame, batch: str, as_of=None
 
 
 def compact(tables: Tables, names: tuple[str, ...] = tuple(REPORTS)) -> None:
-    """Fold the states of each key into one row, as a new version of the table."""
-    tables.replace(
-        {f"gold_{n}": REPORTS[n].merge(tables.read(f"gold_{n}")) for n in names}, "compacted"
-    )
+    """Fold the states of each key into one row, in the months that more than one load has added to.
+
+    The files of all other months stay as they are. A root whose log does not tell the months is folded as a whole.
+    """
+    grown = {f"gold_{n}": tables.grown_parts(f"gold_{n}") for n in names}
+    whole = {n: REPORTS[n.removeprefix("gold_")].merge(tables.read(n)) for n, months in grown.items() if months is None}
+    parts = {n: (REPORTS[n.removeprefix("gold_")].merge(tables.read_parts(n, months)), months) for n, months in grown.items() if months}
+    if whole:
+        tables.replace(whole, "compacted")
+    if parts:
+        tables.change({}, parts, "compacted")
 
 
 def report(

@@ -36,6 +36,9 @@ CHANNELS = {
 
 CSV_FILES = {"file_name": "string", "inserted": "boolean"}
 
+# Drops that were looked at and not loaded; a drop that is changed later is looked at again.
+CSV_REFUSED = {"file_name": "string", "modified": "timestamp", "reason": "string"}
+
 BRONZE_VIDEOS = {
     "id": "string",
     "owner_username": "string",
@@ -147,11 +150,14 @@ GOLD = {
 
 TABLES = {
     "documents": DOCUMENTS,
+    "document_keys": {"_id": "string"},
     "channels": CHANNELS,
     "csv_files": CSV_FILES,
+    "csv_refused": CSV_REFUSED,
     "bronze_videos": BRONZE_VIDEOS,
     "bronze_channels": CHANNELS,
     "silver_events": SILVER_EVENTS,
+    "silver_waiting": BRONZE_VIDEOS,
     "rejects": REJECTS,
     "run_audit": RUN_AUDIT,
     **{f"gold_{name}": columns for name, columns in GOLD.items()},

@@ -85,3 +85,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, sorted; none if there is no such folder."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(where))

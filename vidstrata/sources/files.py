@@ -28,21 +28,41 @@ def key_under(root: str, path: Column) -> Column:
 
 def origin_path() -> Column:
     """Decoded path of the file a row was read from."""
-    # a plus sign is not encoded in the metadata, yet url_decode would make it a blank
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return decoded(F.col("_metadata.file_path"))
+
+
+def decoded(path: Column) -> Column:
+    """A path as files have it, from one with percent signs; a plus sign is not encoded in those."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
-    """One row per file: path, key, modified, length. File contents are never read."""
+    """One row per file: path, key, modified, length. File contents are never read.
+
+    Spark lists the folders in parallel. Its readers pass over files of 0 bytes, though its listing has them: where
+    the numbers differ, these are the names that the reader does not give. Only they are asked for their times one by one.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    return reader.load(root).select(
-        "path",
-        key_under(root, F.col("path")).alias("key"),
-        F.col("modificationTime").alias("modified"),
-        "length",
-    )
+    found = reader.load(root)
+    rows = found.select("path", F.col("modificationTime").alias("modified"), "length")
+    names = found._jdf.inputFiles()  # stays in the JVM, where the listing is, unless some files are empty
+    if len(names) > rows.count():
+        listed = spark.createDataFrame([(name,) for name in names], "name string").select(decoded(F.col("name")).alias("path"))
+        # by key, since the two write the scheme of a path differently
+        listed = listed.withColumn("key", key_under(root, F.col("path")))
+        empty = listed.join(rows.select(key_under(root, F.col("path")).alias("key")), "key", "left_anti")
+        times = [(row["path"], _modified(spark, row["path"])) for row in empty.toLocalIterator()]
+        more = spark.createDataFrame(times, "path string, millis bigint")
+        rows = rows.unionByName(more.select("path", F.timestamp_millis("millis").alias("modified"), F.lit(0).cast("bigint").alias("length")))
+    return rows.select("path", key_under(root, F.col("path")).alias("key"), "modified", "length")
+
+
+def _modified(spark: SparkSession, path: str) -> int:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getFileStatus(where).getModificationTime()
 
 
 def utc(moment: dt.datetime | str) -> dt.datetime:
@@ -93,8 +113,14 @@ def not_in_ledger(files: DataFrame, ledger: DataFrame, key: str = "key") -> Data
 
 
 def pending_drops(
-    spark: SparkSession, root: str, ledger: DataFrame, as_of, suffix: str = ".csv"
+    spark: SparkSession, root: str, ledger: DataFrame, as_of, suffix: str = ".csv", refused: DataFrame | None = None
 ) -> DataFrame:
-    """Dated files not yet in the ledger, each with its ``state``; load those that are ``due``."""
+    """Dated files not yet in the ledger, each with its ``state``; load those that are ``due``.
+
+    Files ``refused`` before (file_name, modified) are left out until they are changed.
+    """
     files = with_drop_date(not_in_ledger(list_files(spark, root, suffix), ledger))
+    if refused is not None:
+        seen = refused.select(F.col("file_name").alias("key"), "modified")
+        files = files.join(seen, ["key", "modified"], "left_anti")
     return files.withColumn("state", drop_state(as_of))
