@@ -6,21 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidstrata.llm import language, mixing, packing, repeats, similar
-from vidstrata.llm.common import held_out, small_batches
+from vidstrata.llm.common import free_name, held_out, small_batches
 from vidstrata.session import tune, work_dir
 
 
+# Languages that the corpus is to have, by the labels' names; None for all of them.
+WANTED: tuple[str, ...] | None = None
+# A document stays if its predicted language has at least this probability.
+LEAST = 0.5
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language (operator 4); texts without a letter go."""
+    """Documents in a wanted language (operator 4).
+
+    A document goes if its text has no letter, if the language predicted is not in ``WANTED`` (None: all that the
+    labels name), or if the model holds all languages together for likelier than the one predicted (``LEAST``).
+    Without a labelled row no language is known, and only texts without a letter go.
+    """
     tune(spark)
     small_batches(spark)
     model = language.fit(docs.where(~held_out(F.col("doc_id"))))
-    found = language.detect(docs, model, into="__language")
-    # without a labelled row no language is known, and only texts without a letter are rejected
-    rejected = F.col("__language.lang_pred") == language.UNDETERMINED
+    into = free_name(docs, "language")
+    found = language.detect(docs, model, into=into)
+    predicted, score = F.col(f"`{into}`.lang_pred"), F.col(f"`{into}`.score")
+    kept = (predicted != language.UNDETERMINED) & (score >= LEAST)
+    if WANTED is not None:
+        kept &= predicted.isin(list(WANTED))
     if not model.families:
-        rejected = ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.where(~rejected).select(docs.columns)
+        kept = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return found.where(kept).select([f"`{c}`" for c in docs.columns])
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

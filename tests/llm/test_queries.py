@@ -9,6 +9,7 @@ from tests.llm.samples import docs, near_copies
 from tests.llm.test_similar import brute
 from tests.oracle import connect, difference
 from vidstrata.llm import queries
+from vidstrata.llm.common import held_out
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +63,36 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in after} == {r.doc_id for r in before}
 
 
+def test_language_stage_goes_by_the_prediction(spark, monkeypatch):
+    from vidstrata.llm import language
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("__language", F.lit(1)).withColumn("language", F.lit(2))
+    everything = corpus_pipeline.known_language(spark, rows, SF)
+    assert everything.columns == rows.columns
+    assert everything.count() > 0.99 * rows.where("text RLIKE '[a-zA-Z]'").count()
+    monkeypatch.setattr(corpus_pipeline, "WANTED", ("en", "de"))
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, rows, SF).collect()}
+    model = language.fit(rows.where(~held_out(F.col("doc_id"))))
+    found = language.detect(rows.select("doc_id", "text"), model).select("doc_id", "language.*").collect()
+    assert kept == {r.doc_id for r in found if r.lang_pred in ("en", "de") and r.score >= 0.5}
+    assert 0 < len(kept) < rows.count()
+    # a model that errs changes the rows
+    for wanted, name, score, n in ((("en", "de"), "fr", 1.0, 0), (None, "fr", 1.0, rows.count()), (None, "fr", 0.4, 0), (None, "und", 1.0, 0)):
+        monkeypatch.setattr(corpus_pipeline, "WANTED", wanted)
+        guess = F.struct(F.lit(name).alias("lang_pred"), F.lit(score).alias("score"))
+        monkeypatch.setattr(language, "detect", lambda docs, model, into, guess=guess: docs.withColumn(into, guess))
+        assert corpus_pipeline.known_language(spark, rows, SF).count() == n
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["__hash", "__id", "__digest", "__of", "__size", "__chance", "__copy"]
+    given = docs(spark, near_copies(bases=3)).select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        after = stage(spark, given, SF)
+        assert after.columns == given.columns, name
+        assert {tuple(r[n] for n in names) for r in after.collect()} == {tuple(range(len(names)))}, name
+
+
 def test_pipeline_of_no_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").where("false").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -97,6 +97,41 @@ def test_odd_pages(weights, page, text):
     assert html_text.extract(page, weights) == text
 
 
+def test_article_in_a_wrapper_with_text_beside_it(weights):
+    for beside in (20, 30, 200):
+        page = f"<body><div class='has-sidebar'><article><p>{words('story', 300)}</p></article></div><p>{words('other', beside)}</p></body>"
+        assert html_text.extract(page, weights).count("story") == 300
+    comments = f"<div class='comments'><article><p>{words('other', 300)}</p></article></div>"
+    assert html_text.extract(f"<body><div class='story'><p>{words('story', 60)}</p></div>{comments}</body>", weights) == words("story", 60)
+
+
+def test_page_of_open_elements(weights):
+    """What is kept of a page grows with its length, however deep its elements lie."""
+    import tracemalloc
+
+    page = "<div>word and more" * 40_000
+    tracemalloc.start()
+    assert html_text.extract(page, weights).count("word") == 40_000
+    found = np.zeros((4, html_text.SLOTS + 1), dtype=np.int64)
+    html_text.counts(html_text.parse("<article>" + page), found)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    # each word counts once for a slot, however often the elements around it have it
+    assert found[1, html_text.slot("<div")] == 120_000 == found[1, html_text.slot("<article")]
+
+
+def test_region_is_the_best_of_all_spans(weights):
+    rng = random.Random(7)
+    tags = ["<div>", "</div>", "<p>", "</p>", "<ul><li>", "</ul>", "<article>", "</article>", "<a>", "</a>", "<nav>", "</nav>", "<b>"]
+    for _ in range(60):
+        page = html_text.parse("".join(rng.choice(tags) + rng.choice(["", "a ", "x y ", "many words of text "]) for _ in range(25)))
+        odds = weights.odds(page)
+        scores = [weights.score(item, odds) for item in page.items]
+        best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0.0)
+        start, end = html_text.region(page, weights)
+        assert abs(sum(scores[start:end]) - max(best, 0.0)) < 1e-6
+
+
 def test_very_long_page(weights):
     page = "<article>" + "<p><b>word <i>x" * 20000
     assert html_text.extract(page, weights).count("\n") == 19999
@@ -132,6 +167,13 @@ def test_language_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_language_keeps_columns_of_any_name(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    given = docs(spark, ["the end", None]).withColumn("__guess", F.lit(5)).withColumn("apart_0", F.lit(6))
+    found = language.detect(given, language.fit(rows)).collect()
+    assert {(r["__guess"], r["apart_0"]) for r in found} == {(5, 6)}
+
+
 def test_language_of_odd_texts(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit(rows)
@@ -200,6 +242,19 @@ def test_counts_of_forms_equal_the_definition(spark, monkeypatch):
         assert {r.form % (1 << 64): [r.bad, r.good] for r in toxicity.counts(known).collect()} == want
 
 
+def test_segments_take_time_in_proportion():
+    import time
+
+    took = []
+    for n in (20_000, 160_000):
+        scores = np.where(np.arange(2 * n) % 2 == 0, 1.0, -2.0)
+        total = np.concatenate([[0.0], np.cumsum(scores)])
+        begun = time.perf_counter()
+        assert len(toxicity.maximal(np.flatnonzero(scores > 0), total)) == n
+        took.append(time.perf_counter() - begun)
+    assert took[1] < 5 and took[1] < 40 * took[0]
+
+
 def test_maximal_segments_equal_the_definition():
     rng = random.Random(4)
     for _ in range(200):

@@ -6,6 +6,7 @@ documents is worked on together up to ``CHUNK`` bytes; a longer document is a gr
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +40,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def apart(work: Callable) -> Callable:
+    """Columns of the first table that begin with ``__``, as those of the operators do, have other names meanwhile."""
+
+    @functools.wraps(work)
+    def run(df: DataFrame, *args, **how) -> DataFrame:
+        own = [c for c in df.columns if c.startswith("__")]
+        names = {c: free_name(df, f"apart_{i}") for i, c in enumerate(own)}
+        args = [names.get(a, a) if isinstance(a, str) else a for a in args]
+        how = {k: names.get(v, v) if isinstance(v, str) else v for k, v in how.items()}
+        done = work(df.withColumnsRenamed(names), *args, **how)
+        return done.withColumnsRenamed({v: k for k, v in names.items()})
+
+    return run
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels no model may see; a null id has an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -9,7 +9,8 @@ score slightly negative wherever they stand, and are left out of the region.
 
 A class or id that names a menu, notice, advert or the like is a prior against its elements, judged for
 each page: they are left out unless their text, at the odds of such a name, outscores what the page has
-outside of them. A wrapper of the page (``has-sidebar``) is opened so, and then the elements within it
+outside of them; one that is not named so outright and holds an ``article`` or ``main`` with most words of the page
+always stays. A wrapper of the page (``has-sidebar``) is opened so, and then the elements within it
 are judged in the same way; elements of the same names are opened together.
 
 A null, empty or text-free page has an empty text. Unclosed elements end with their parent, an unclosed
@@ -74,6 +75,8 @@ class Element:
     main: bool
     names: tuple[str, ...] = ()  # classes and ids that speak against it
     so: bool = False  # one of them is nothing but such a name
+    node: int = 0  # its number among the elements of the page
+    fresh: tuple[int, ...] = ()  # its slots that no element around it has
 
 
 @dataclass
@@ -82,7 +85,7 @@ class Run:
 
     text: str
     words: int
-    slots: tuple[int, ...]
+    node: int  # the innermost element around it, 0 for the page
     left_out: bool
     main: int  # number of the article or main element around it, 0 if none
     outer: int  # the outermost of those around it
@@ -105,6 +108,8 @@ class Page:
     within: list[int] = field(default_factory=list)  # number of the innermost named element around each item
     named: list[Named] = field(default_factory=lambda: [Named(-1, (), 1.0)])  # 0 is the page
     mains_within: dict[int, int] = field(default_factory=dict)
+    # of each element, outer ones first: the one around it, its slots, and those that no element around it has
+    nodes: list[tuple[int, tuple[int, ...], tuple[int, ...]]] = field(default_factory=lambda: [(-1, (), ())])
 
 
 def slot(name: str) -> int:
@@ -135,6 +140,7 @@ def parse(source: str) -> Page:
     stack: list[Element] = []
     open_names: Counter = Counter()
     out = block = mains = 0
+    held: set[int] = set()  # slots of the open elements
     around: list[int] = []  # numbers of the article and main elements around
     inside = [0]  # numbers of the named elements around
     at, end = 0, len(source)
@@ -145,6 +151,7 @@ def parse(source: str) -> Page:
         while len(stack) > depth:
             gone = stack.pop()
             open_names[gone.name] -= 1
+            held.difference_update(gone.fresh)
             out -= gone.left_out
             if gone.main:
                 around.pop()
@@ -157,8 +164,8 @@ def parse(source: str) -> Page:
             less = end
         if less > at:
             text = html.unescape(source[at:less])
-            slots = tuple(s for e in stack for s in e.slots)
-            page.items.append(Run(text, len(text.split()), slots, out > 0, around[-1] if around else 0, around[0] if around else 0, block))
+            node = stack[-1].node if stack else 0
+            page.items.append(Run(text, len(text.split()), node, out > 0, around[-1] if around else 0, around[0] if around else 0, block))
             page.within.append(inside[-1])
         if less == end:
             break
@@ -173,7 +180,7 @@ def parse(source: str) -> Page:
                 close = source.find(">", less)
                 at = end if close < 0 else close + 1
             else:  # a less-than sign in the text
-                page.items.append(Run("<", 0, (), out > 0, around[-1] if around else 0, around[0] if around else 0, block))
+                page.items.append(Run("<", 0, 0, out > 0, around[-1] if around else 0, around[0] if around else 0, block))
                 page.within.append(inside[-1])
                 at = less + 1
             continue
@@ -216,6 +223,9 @@ def parse(source: str) -> Page:
             around.append(mains)
             page.mains[mains] = tag
             page.mains_within[mains] = inside[-1]
+        new.node, new.fresh = len(page.nodes), tuple(set(new.slots) - held)
+        held.update(new.fresh)
+        page.nodes.append((stack[-1].node if stack else 0, new.slots, new.fresh))
         stack.append(new)
         open_names[tag] += 1
         out += new.left_out
@@ -247,6 +257,7 @@ def counts(page: Page, found: np.ndarray) -> None:
         known.add(at)
         at = page.named[at].parent
     inside = 0
+    words = [[0] * len(page.nodes) for _ in range(2)]  # in each element
     for item, within in zip(page.items, page.within, strict=True):
         if within not in known:
             continue
@@ -254,11 +265,18 @@ def counts(page: Page, found: np.ndarray) -> None:
             if item.left_out:
                 continue
             inside = int(item.main == main)
-            for s in set(item.slots):
-                found[inside, s] += item.words
+            words[inside][item.node] += item.words
             found[inside, SLOTS] += item.words
         elif item != LEFT_OUT_TAG:
             found[2 + inside, item] += 1
+    for inside in (0, 1):
+        own = words[inside]
+        for node in range(len(page.nodes) - 1, 0, -1):  # inner elements first: their words are in the outer ones too
+            if own[node]:
+                parent, _, fresh = page.nodes[node]
+                own[parent] += own[node]
+                for s in fresh:
+                    found[inside, s] += own[node]
 
 
 @dataclass
@@ -280,11 +298,20 @@ class Weights:
         tag = np.append(tag, -LEFT_OUT)  # LEFT_OUT_TAG
         return cls(word, tag)
 
-    def run_score(self, run: Run) -> float:
-        if run.left_out:
-            return -LEFT_OUT * run.words
-        odds = float(self.word[list(run.slots)].sum()) if run.slots else 0.0
-        return run.words * min(max(WORD_BASE + odds, -LIMIT), LIMIT)
+    def odds(self, page: Page) -> list[float]:
+        """Of each element the sum over its slots and those of the elements around it."""
+        out = [0.0]
+        for parent, slots, _ in page.nodes[1:]:
+            out.append(out[parent] + sum(self.word[s] for s in slots))
+        return out
+
+    def score(self, item, odds: list[float]) -> float:
+        """Of a tag, or of a run of text given the odds of the page's elements."""
+        if not isinstance(item, Run):
+            return float(self.tag[item])
+        if item.left_out:
+            return -LEFT_OUT * item.words
+        return item.words * min(max(WORD_BASE + odds[item.node], -LIMIT), LIMIT)
 
 
 def opened(page: Page, weights: Weights) -> set[int]:
@@ -293,15 +320,22 @@ def opened(page: Page, weights: Weights) -> set[int]:
     n = len(page.named)
     if n == 1:
         return found
+    odds = weights.odds(page)
     own, total = [0.0] * n, [0.0] * n  # the best region of what lies in an element and in no named one within
     for item, g in zip(page.items, page.within, strict=True):
-        total[g] = max(total[g], 0.0) + (weights.run_score(item) if isinstance(item, Run) else float(weights.tag[item]))
+        total[g] = max(total[g], 0.0) + weights.score(item, odds)
         own[g] = max(own[g], total[g])
     whole = own.copy()
     children: dict[int, list[int]] = {}
     for g in range(n - 1, 0, -1):  # outer elements have smaller numbers
         whole[page.named[g].parent] += whole[g]
         children.setdefault(page.named[g].parent, []).append(g)
+    # those around an article with most of the words, unless one is named by nothing but what is left out
+    for g in around_longest(page):
+        found.add(g)
+        own[0] += own[g]
+        children.setdefault(0, []).extend(c for c in children.get(g, ()) if c not in found)
+    children = {p: [c for c in cs if c not in found] for p, cs in children.items()}
     here, text = [0], own[0]
     while True:
         alike: dict[tuple, list[int]] = {}
@@ -314,6 +348,24 @@ def opened(page: Page, weights: Weights) -> set[int]:
         text += sum(own[g] for g in here)
 
 
+def around_longest(page: Page) -> list[int]:
+    """The named elements around an article or main that holds most of the page's words."""
+    words: Counter = Counter()
+    for item in page.items:
+        if isinstance(item, Run) and not item.left_out:
+            words[item.outer] += item.words
+    longest = max(words, key=words.__getitem__, default=0)
+    if not longest or 2 * words[longest] <= sum(words.values()):
+        return []
+    chain, g = [], page.mains_within[longest]
+    while g:
+        if page.named[g].odds < NAMED:
+            return []
+        chain.append(g)
+        g = page.named[g].parent
+    return chain[::-1]
+
+
 def settle(page: Page, weights: Weights) -> None:
     """Leave out what lies in named elements that are not opened."""
     found = opened(page, weights)
@@ -330,10 +382,11 @@ def settle(page: Page, weights: Weights) -> None:
 def region(page: Page, weights: Weights) -> tuple[int, int]:
     """The items of the best contiguous region, by one scan."""
     best, best_span, total, start = 0.0, (0, 0), 0.0, 0
+    odds = weights.odds(page)
     for i, item in enumerate(page.items):
         if total <= 0:
             total, start = 0.0, i
-        total += weights.run_score(item) if isinstance(item, Run) else float(weights.tag[item])
+        total += weights.score(item, odds)
         if total > best:
             best, best_span = total, (start, i + 1)
     return best_span

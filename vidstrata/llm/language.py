@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import groups
+from vidstrata.llm.common import apart, groups
 
 SAMPLE_ROWS = 2000
 DIMENSIONS = 4096
@@ -182,6 +182,7 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     return model
 
 
+@apart
 def detect(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
     """``docs`` with a struct ``into`` of lang_pred and score (an input column of that name is replaced)."""
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import stored
+from vidstrata.llm.common import apart, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 RESULT = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -231,6 +231,7 @@ def extra_copies(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return alone.unionByName(many.select(*alone.columns))
 
 
+@apart
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (1, 2, 3),
@@ -286,6 +287,7 @@ def mix(
     )
 
 
+@apart
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; the columns of ``docs``."""
     how = {"doc_id": "doc_id", "text": "text", "source": "source"} | how

@@ -264,7 +264,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     small_batches(spark, 500)
     ranges = shuffle_partitions(spark)
     cuts = splitters(docs, ranges, doc_id, text)
-    rows = tokens(docs, cuts, doc_id, text, path).repartition(ranges, "bucket")
+    rows = tokens(docs, cuts, doc_id, text, path).repartitionById(ranges, F.col("bucket").cast("int"))
     rows = rows.sortWithinPartitions("bucket", "key", "tie", "doc_id", F.crc32("ids"))
     rows = rows.select("doc_id", "ids", F.spark_partition_id().cast("long").alias("part"))
     kind = docs.schema[doc_id].dataType.simpleString()

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import _VALUES, as_bytes, inverse_powers, mix, powers, shuffle_partitions, small_batches, stored
+from vidstrata.llm.common import _VALUES, apart, as_bytes, inverse_powers, mix, powers, shuffle_partitions, small_batches, stored
 
 LENGTH = 200
 HOT = 50_000
@@ -454,6 +454,7 @@ def cut(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str
     )
 
 
+@apart
 def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` with what repeats cut out of their texts, and ``n_chars`` (if there is one) counted anew."""
     found = cut(docs, length, doc_id, text, with_text=True).where("changed").select(F.col("doc_id").alias("__of"), F.col("digest").alias("__of_digest"), F.col("kept").alias("__kept"))

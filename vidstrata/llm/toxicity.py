@@ -4,8 +4,10 @@ A word is scored by the log-odds of toxic against clean labelled documents, with
 prior count of a word is a fixed total dealt out by its frequency in both classes together. What is
 counted is the word itself and its beginnings of 4 to 7 bytes (inflected forms share them), by 64-bit
 hash, over all labelled documents. A word's score is the best lower bound among these, less a drift that
-makes ordinary words negative, and ``LOWEST`` at least; the model holds the forms that score more. One scan over a text finds all maximal segments
-(Ruzzo and Tompa). For segments of clean texts the scores follow an extreme-value law: its decay solves
+makes ordinary words negative; a word of no form above 0 scores ``LOWEST``. The model holds the forms above 0 alone: each
+of them is in several toxic documents (three standard deviations below its log-odds is still above 0), so there
+are at most as many as the words of all toxic labelled documents by that number, and few beside the vocabulary. One
+scan over a text, linear in its words, finds all maximal segments (Ruzzo and Tompa). For segments of clean texts the scores follow an extreme-value law: its decay solves
 sum p(s) exp(decay * s) = 1 over the word scores of clean documents, its offset is fitted to their best
 segments. The normalised scores of the significant segments add up to a document's evidence, and a
 logistic curve over the evidence of all labelled documents makes it a probability.
@@ -53,7 +55,7 @@ def units(words: Words, at: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    forms: np.ndarray | None = None  # sorted hashes of the forms that score above LOWEST
+    forms: np.ndarray | None = None  # sorted hashes of the forms that score above 0
     scores: np.ndarray | None = None
     decay: float = 1.0
     offset: float = 0.0
@@ -114,20 +116,31 @@ class Model:
 
 
 def maximal(positive: np.ndarray, total: np.ndarray) -> list[tuple[int, int]]:
-    """All maximal scoring segments, from the positions of positive scores and the running total."""
-    stack: list[tuple[int, int, float, float]] = []  # from, to, total before, total after
-    for p in positive.tolist():
-        start, left, right = p, total[p], total[p + 1]
+    """All maximal scoring segments, from the positions of positive scores and the running total.
+
+    Each segment keeps the place of the nearest earlier one with less before it. A search for such a place follows
+    these links, and whatever it passes over is never looked at again, so the scan is linear.
+    """
+    spans: list[tuple[int, int]] = []
+    before: list[float] = []
+    after: list[float] = []
+    earlier: list[int] = []
+    for p, left, right in zip(positive.tolist(), total[positive].tolist(), total[positive + 1].tolist(), strict=True):
+        start, j = p, len(spans) - 1
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= left:
-                j -= 1
-            if j < 0 or stack[j][3] >= right:
-                stack.append((start, p + 1, left, right))
+            while j >= 0 and before[j] >= left:
+                j = earlier[j]
+            if j < 0 or after[j] >= right:
                 break
-            start, left = stack[j][0], stack[j][2]
-            del stack[j:]
-    return [(s, e) for s, e, _, _ in stack]
+            # joined with that segment and all behind it
+            start, left = spans[j][0], before[j]
+            place, j = j, earlier[j]
+            del spans[place:], before[place:], after[place:], earlier[place:]
+        spans.append((start, p + 1))
+        before.append(left)
+        after.append(right)
+        earlier.append(j)
+    return spans
 
 
 def lowered(text: Column) -> Column:
@@ -206,12 +219,12 @@ def log_odds(bad: np.ndarray, good: np.ndarray, bad_docs: int, good_docs: int) -
 
 
 def scored_forms(known: DataFrame, bad_docs: int, good_docs: int) -> pd.DataFrame:
-    """(form, score) of all forms that score above ``LOWEST``, which others have."""
+    """(form, score) of all forms that score above 0; the others have ``LOWEST``."""
 
     def work(batch):
         form, bad, good = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         score = log_odds(bad, good, bad_docs, good_docs)
-        kept = score > LOWEST
+        kept = score > 0
         yield {"form": form[kept], "score": score[kept]}
 
     return in_arrow(counts(known), work, "form bigint, score float").toPandas()
