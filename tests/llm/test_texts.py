@@ -325,6 +325,34 @@ def test_hot_blocks_are_split(spark, monkeypatch):
     assert {tuple(r) for r in fingerprints.within_radius(given, 3).collect()} == {x for x in near if x[2] <= 3}
 
 
+@pytest.mark.parametrize("hot", [6, 25, 1000])
+@pytest.mark.parametrize("radius", [0, 3, 7])
+def test_neighbours_within_the_radius(spark, monkeypatch, radius, hot):
+    """Far and near marks, a dense group, copies, a null; keys split by further blocks and by tiles."""
+    rng = random.Random(radius)
+    values = [rng.getrandbits(256) for _ in range(40)] + [0]
+    values += [v ^ sum(1 << b for b in rng.sample(range(256), rng.randrange(1, 10))) for v in values for _ in range(2)]
+    values += [values[0] ^ sum(1 << b for b in rng.sample(range(20), rng.randrange(1, 7))) for _ in range(80)]
+    values += [values[0]] * 5 + [values[1]] * 2
+    marks = [f"{v:064x}" for v in values]
+    given = spark.createDataFrame([*enumerate(marks), (-1, None)], "mark int, fingerprint string").repartition(3)
+    monkeypatch.setattr(fingerprints, "HOT", hot)
+    found = {r["mark"]: r.near_documents for r in fingerprints.with_neighbours(given, radius).collect()}
+    assert found.pop(-1) == 0
+    assert found == {i: sum((v ^ w).bit_count() <= radius for w in values) - 1 for i, v in enumerate(values)}
+    own = given.where("fingerprint is not null").groupBy(F.unhex("fingerprint").alias("mark")).agg(F.count("*").alias("n"))
+    sizes = fingerprints.block_units(own, radius).groupBy("key", "further", "cell").count().agg(F.max("count")).first()[0]
+    assert (sizes or 0) <= 2 * hot + 20  # tiles are dealt by hash
+
+
+def test_neighbours_of_nothing(spark):
+    assert fingerprints.with_neighbours(spark.createDataFrame([], "doc_id long, fingerprint string")).collect() == []
+    found = fingerprints.with_neighbours(spark.createDataFrame([(1, "00" * 32), (2, None)], "near_documents long, fingerprint string"), into="near")
+    assert sorted(tuple(r) for r in found.select("near_documents", "near").collect()) == [(1, 0), (2, 0)]
+    with pytest.raises(ValueError, match="radius"):
+        fingerprints.with_neighbours(found, 40)
+
+
 def test_section_tokens_add_up(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [r.text for r in rows.select("text").collect()] + ODD

@@ -4,6 +4,9 @@ The terms of a text are its pairs of neighbouring words (A-Z as a-z; a text of o
 A term weighs 1 + ln of how often the text has it, and votes with the bits of its hash for or against
 each bit of the fingerprint. Null texts are empty; a text without words has no votes and all bits 0.
 Equal texts have equal fingerprints. The likeness of two is the share of equal bits.
+
+``with_neighbours`` counts for every document the others within a Hamming radius by block tables, without
+a row for each pair; ``within_radius`` lists the pairs.
 """
 
 from __future__ import annotations
@@ -14,15 +17,18 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vidstrata.llm.common import Words, groups, mix, powers, shuffle_partitions, small_batches, stored
+from vidstrata.llm.common import Words, free_name, groups, mix, powers, shuffle_partitions, small_batches, stored
 
 BITS = 256
 EMPTY = bytes(BITS // 8)
 HOT = 1000  # so many fingerprints with one key of blocks are split by further blocks
+RADIUS = 7  # 8 tables, each with 32 bits as its key
+DIGITS = BITS // 4
+LOW = 63  # the bits of a key that hold the number of its block
 
 
 def fingerprint(terms: np.ndarray) -> bytes:
@@ -212,3 +218,146 @@ def within_radius(prints: DataFrame, radius: int, fingerprint_column: str = "fin
         one, two = (F.conv(F.substring(c, s, 16), 16, -10).cast("long") for c in ("a", "b"))
         distance = distance + F.bit_count(one.bitwiseXOR(two))
     return near.select("a", "b", distance.cast("int").alias("distance")).where(F.col("distance") <= radius).distinct()
+
+
+def block_edges(size: int, radius: int) -> list[int]:
+    """``radius`` + 1 blocks of ``size`` hex digits."""
+    return [size * i // (radius + 1) for i in range(radius + 2)]
+
+
+def block_keys(digits: Column, edges: list[Column | int], *salt: Column) -> Column:
+    """Array of the keys of a text's blocks; equal blocks have equal keys, which hold the block's number."""
+    keys = []
+    for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        block = F.substring(digits, F.lit(a) + 1, F.lit(b) - F.lit(a))
+        keys.append(F.xxhash64(*salt, F.lit(i), block).bitwiseAND(F.lit(~LOW)).bitwiseOR(F.lit(i)))
+    return F.array(*keys)
+
+
+def block_units(marks: DataFrame, radius: int) -> DataFrame:
+    """Rows (key, further, cell, cross, tile, mark, n) of ``marks`` (mark binary, n): units of marks to be compared.
+
+    Two marks at most ``radius`` bits apart agree in one of ``radius`` + 1 blocks, so they have a key in
+    common. Keys with more than ``HOT`` marks are split by a block of the other bits, of which there are
+    ``radius`` + 1 again. What is still more is dealt into tiles of about ``HOT`` marks, and each two tiles
+    are a cell: a unit has about 2 * ``HOT`` rows at most, whatever the data.
+    """
+    digits = F.hex("mark")
+    edges = block_edges(DIGITS, radius)
+    entries = marks.select("mark", "n", F.explode(block_keys(digits, edges)).alias("key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    entries = entries.join(stored(sizes, "simhash-keys"), "key")
+    whole = entries.where(F.col("size") <= HOT).withColumn("further", F.lit(0).cast("long")).withColumn("tiles", F.lit(1).cast("long"))
+
+    start, end = (F.element_at(F.array(*map(F.lit, e)), F.col("key").bitwiseAND(F.lit(LOW)).cast("int") + 1) for e in (edges[:-1], edges[1:]))
+    rest = F.concat(F.substring(digits, F.lit(1), start), F.substring(digits, end + 1, F.lit(DIGITS)))
+    left = F.length(rest)
+    inner = [F.floor(left * i / (radius + 1)).cast("int") for i in range(radius + 2)]
+    split = entries.where(F.col("size") > HOT).drop("size")
+    split = split.withColumn("further", F.explode(block_keys(rest, inner, F.col("key"))))
+    sizes = split.groupBy("key", "further").agg(F.count("*").alias("size")).where("size > 1")
+    split = split.join(stored(sizes, "simhash-further"), ["key", "further"]).withColumn("tiles", F.ceil(F.col("size") / HOT))
+
+    tile = F.pmod(F.xxhash64("mark"), F.col("tiles"))
+    rows = whole.unionByName(split).withColumn("tile", tile)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    cell = F.least("tile", "other") * F.col("tiles") + F.greatest("tile", "other")
+    # row and column of a cell differ where two tiles meet; a tile by itself is the cell on the diagonal
+    return rows.select("key", "further", cell.alias("cell"), (F.col("tile") != F.col("other")).alias("cross"), "tile", "mark", "n")
+
+
+def first_equal(differs: np.ndarray, edges: list[int]) -> np.ndarray:
+    """Of each row the first block without a difference."""
+    return np.logical_or.reduceat(differs, edges[:-1], axis=1).argmin(axis=1)
+
+
+def counted_once(apart: np.ndarray, key: np.ndarray, further: np.ndarray, radius: int) -> np.ndarray:
+    """Whether a pair (bytes of its exclusive or) is met here for the first time: other keys hold it too."""
+    differs = np.stack([apart >> 4, apart & 15], axis=2).reshape(len(apart), DIGITS) != 0
+    edges = block_edges(DIGITS, radius)
+    here = first_equal(differs, edges) == key & LOW
+    for block in range(radius + 1):
+        rows = np.flatnonzero(here & (further != 0) & (key & LOW == block))
+        if len(rows):
+            rest = np.delete(differs[rows], slice(edges[block], edges[block + 1]), axis=1)
+            here[rows] = first_equal(rest, block_edges(rest.shape[1], radius)) == further[rows] & LOW
+    return here
+
+
+def neighbours_within(units: list[np.ndarray], radius: int) -> np.ndarray:
+    """Of each row how many documents the marks near it in its unit have; rows of a unit are next to each other."""
+    key, further, cell, cross, tile, marks, n = units
+    rows = len(key)
+    bits = marks.view(np.uint64)
+    new = np.ones(rows, dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (further[1:] != further[:-1]) | (cell[1:] != cell[:-1])
+    ends = np.append(np.flatnonzero(new)[1:], rows)
+    end = ends[np.cumsum(new) - 1]
+    near = np.zeros(rows, dtype=np.int64)
+    live, step = np.arange(rows), 0
+    while True:  # all rows with the one ``step`` behind them
+        step += 1
+        live = live[live + step < end[live]]
+        if not len(live):
+            return near
+        one = live[~cross[live] | (tile[live] != tile[live + step])]
+        distance = np.bitwise_count(bits[one] ^ bits[one + step]).sum(axis=1, dtype=np.int64)
+        one = one[distance <= radius]
+        if len(one):
+            one = one[counted_once(marks[one] ^ marks[one + step], key[one], further[one], radius)]
+            near[one] += n[one + step]
+            near[one + step] += n[one]
+
+
+def near_counts(marks: DataFrame, radius: int) -> DataFrame:
+    """(mark, near): for each of ``marks`` (mark binary, distinct; n, its documents) the documents of other marks
+    at most ``radius`` bits apart. Marks without any have no row."""
+    units = block_units(marks, radius).repartition("key", "further", "cell").sortWithinPartitions("key", "further", "cell")
+
+    def run(batches: Iterator):
+        held = None
+
+        def counted(units):
+            near = neighbours_within(units, radius)
+            at = np.flatnonzero(near)
+            found = [pa.array([m.tobytes() for m in units[5][at]], type=pa.binary()), pa.array(near[at])]
+            return pa.RecordBatch.from_arrays(found, names=["mark", "near"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            units = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            marks_ = np.frombuffer(b"".join(batch.column(5).to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8)
+            units += [marks_, batch.column(6).to_numpy()]
+            if held is not None:
+                units = [np.concatenate(two) for two in zip(held, units, strict=True)]
+            # the last unit may go on in the next batch
+            same = np.logical_and.reduce([units[i] == units[i][-1] for i in range(3)])
+            cut = len(same) - int(same.sum())
+            held = [x[cut:] for x in units]
+            if cut:
+                yield counted([x[:cut] for x in units])
+        if held is not None:
+            yield counted(held)
+
+    found = units.mapInArrow(run, "mark binary, near bigint")
+    return found.groupBy("mark").agg(F.sum("near").alias("near"))
+
+
+def with_neighbours(docs: DataFrame, radius: int = RADIUS, fingerprint_column: str = "fingerprint", into: str = "near_documents") -> DataFrame:
+    """``docs`` with the number of other rows whose hex fingerprints are at most ``radius`` bits apart, ``into``.
+
+    Equal fingerprints are one mark, weighed by its rows, so copies cost nothing. Marks are compared where
+    they have a block in common; a pair counts where it is met first, so no pairs are written or made
+    distinct. Rows without a fingerprint have none near (0); an empty table gives an empty one.
+    """
+    if not 0 <= radius < DIGITS // 2:
+        raise ValueError(f"radius must be 0 to {DIGITS // 2 - 1}")
+    mark = free_name(docs, "mark")
+    of = F.unhex(F.col(fingerprint_column))
+    own = docs.where(F.col(fingerprint_column).isNotNull()).groupBy(of.alias("mark")).agg(F.count("*").alias("n"))
+    own = stored(own, "simhash-marks")
+    near = own.join(near_counts(own, radius), "mark", "left").select("mark", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias(into))
+    near = stored(near.where(F.col(into) > 0), "simhash-near").withColumnRenamed("mark", mark)
+    found = docs.withColumn(mark, of).join(near, mark, "left").drop(mark)
+    return found.withColumn(into, F.coalesce(into, F.lit(0).cast("long")))

@@ -90,7 +90,7 @@ def op7_repeated_passages(spark, sf_dir):
 
 @query
 def op8_fingerprints(spark, sf_dir):
-    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+    return fingerprints.with_neighbours(fingerprints.with_next(table(spark, sf_dir, "documents")))
 
 
 @query
