@@ -18,6 +18,7 @@ from vidstrata.session import work_dir
 
 CHUNK = 1 << 18
 LONG = 1 << 22
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 # Fixed values of a 64-bit mixer with good avalanche.
@@ -32,11 +33,22 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a written table in the shared folder: computed once, and safe when executors go."""
+    """``df`` as a written table in the shared folder: computed once, and safe when executors go.
+
+    Its shuffle files go when it is written, so disks hold those of one step and not of a whole job.
+    """
     spark = df.sparkSession
     path = work_dir(spark, purpose)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(schema).parquet(path)
 
 
