@@ -4,9 +4,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.samples import ODD, docs
 from vidstrata.llm import repeats
+from vidstrata.llm.common import stored
 
 
 def brute(texts, length):
@@ -61,6 +63,44 @@ def test_texts_without_their_repeats(spark):
     assert got == {0: ("one end", 7), 1: ("two", 3), 2: ("clean", 5), 3: (None, 0), 4: ("", 0), 5: ("", 0)}
 
 
+def test_rows_of_hot_keys_stay_where_they_are(spark):
+    given = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, -1, id div 4) as h", "id")
+    counts = stored(given.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"), "test-counts")
+    wanted = given.join(counts, "h")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = repeats.repeated(given, ["h"], counts)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 0.3 * sum(sizes)
+        assert "Window" not in found._jdf.queryExecution().toString()
+        every = repeats.repeated(given, ["h"], counts, once=True)
+        assert every.count() == 60_000
+        assert every.where("times IS NULL").count() == given.join(counts, "h", "left_anti").count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found.exceptAll(wanted.select(found.columns)).isEmpty() and found.count() == wanted.count()
+
+
+def test_broadcast_keys_are_bounded_by_their_bytes(spark, monkeypatch):
+    keys = spark.createDataFrame([("x" * 1000, 1), (None, None)], "id string, digest long")
+    monkeypatch.setattr(repeats, "FEW_BYTES", 1033)
+    assert repeats.few(keys)
+    monkeypatch.setattr(repeats, "FEW_BYTES", 1032)
+    assert not repeats.few(keys)
+    assert repeats.few(keys.where("false"))
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 3])
+def test_cut_without_broadcasts(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "FEW_BYTES", -1)
+    texts = corpus(5, 20)
+    found = repeats.cut(docs(spark, texts), 20, hot=hot).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == brute(texts, 20)
+
+
 def test_empty_table(spark):
     assert repeats.cut(docs(spark, ["x"]).where("false")).collect() == []
     assert repeats.without_repeats(docs(spark, ["x"]).where("false")).collect() == []

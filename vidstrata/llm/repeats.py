@@ -4,14 +4,14 @@ A byte goes if some string of ``length`` bytes that covers it also starts anywhe
 text or another. Texts are UTF-8 bytes; matches never cross texts; all occurrences go, the first too.
 
 1. Anchors. Of every ``length`` bytes the place of the smallest hash of ``k`` bytes (the rightmost on
-   ties) is an anchor, so equal strings have an anchor at the same offset. Anchors whose ``k`` bytes
-   occur once are dropped after one shuffle of hashes.
+   ties) is an anchor, so equal strings have an anchor at the same offset. Hashes of ``k`` bytes are
+   counted, and anchors whose bytes occur once are dropped; no task gets all rows of a frequent hash.
 2. Suffixes of the other anchors are range-partitioned by their leading bytes (Spark samples the
    splitters), each bucket sorts its suffixes by multikey quicksort, eight bytes at a step, and has
    the common prefixes of neighbours. Strings around an anchor repeat if two suffixes agree far
    enough to the right and their texts far enough to the left.
-3. A leading string that more than ``hot`` suffixes share is no unit of work: its suffixes compare
-   across buckets, by counting the hashes of the strings around them.
+3. A leading string that more than ``hot`` suffixes share is no unit of work: its strings are compared
+   by their hashes instead of by sorted suffixes, counted in all tasks and looked up like the anchors.
 
 Texts that occur more than once as a whole are settled by counting them; a task gives the suffixes of
 such a text once. Null texts are empty, texts shorter than ``length`` keep all bytes, repeated rows are
@@ -25,16 +25,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vidstrata.llm.common import _VALUES, apart, as_bytes, inverse_powers, mix, powers, shuffle_partitions, small_batches, stored
+from vidstrata.operators.keys import HOT_SHARE
 
 LENGTH = 200
 HOT = 50_000
 BLOCK = 1 << 20
 CHUNK_ROWS = 8192
-FEW = 2_000_000  # ids of documents, some 50 MB, that may be broadcast to spare a shuffle of texts
+FEW_BYTES = 48 << 20  # keys of documents that may be broadcast to spare a shuffle of texts
 
 
 def gram_size(length: int) -> int:
@@ -235,9 +235,28 @@ def find_anchors(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, f"h bigint, doc_id {kind}, digest bigint, place bigint, end bigint")
 
 
+def few(keys: DataFrame) -> bool:
+    """Whether the values of ``keys``, with some 16 bytes a row to hold them, are small enough for a broadcast."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in keys.columns]
+    return (keys.agg(F.sum(sum(sizes, F.lit(16))).alias("held")).first().held or 0) <= FEW_BYTES
+
+
+def repeated(rows: DataFrame, keys: list[str], counts: DataFrame, once: bool = False) -> DataFrame:
+    """``rows`` whose keys are in the written table ``counts`` (keys, times), with their ``times``; ``once``: all rows, others with null.
+
+    Keys that hold more than 1/HOT_SHARE of the counted rows, so at most HOT_SHARE keys, are broadcast
+    and their rows stay where they are; the rest is joined by shuffle. Null keys are in no table.
+    """
+    total = counts.agg(F.sum("times").alias("total")).first().total or 0
+    hot = F.broadcast(counts.where(F.col("times") * HOT_SHARE > total))
+    there = rows.join(hot, keys)
+    others = rows.join(hot.select(*keys), keys, "left_anti")
+    return there.unionByName(others.join(counts.where(F.col("times") * HOT_SHARE <= total), keys, "left" if once else "inner"))
+
+
 def only_with(texts: DataFrame, keys: DataFrame, doc_id: Column, key: Column) -> DataFrame:
     """Rows of ``texts`` that have a key, cut down before a later join if the keys are few."""
-    if keys.count() > FEW:
+    if not few(keys.select(key.alias("__key"))):
         return texts
     return texts.join(F.broadcast(keys.select(key.alias("__key")).distinct()), doc_id.eqNullSafe(F.col("__key")), "left_semi")
 
@@ -249,8 +268,8 @@ def surroundings(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
     own = places.groupBy(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest")).agg(
         F.collect_list(F.struct("place", "n")).alias("places")
     )
-    few = only_with(texts, own, F.col("digest"), F.col("of_digest"))
-    joined = few.join(own, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")))
+    some = only_with(texts, own, F.col("digest"), F.col("of_digest"))
+    joined = some.join(own, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")))
     joined = joined.select("doc_id", "text", "digest", "places.place", "places.n")
 
     def run(batches: Iterator):
@@ -357,15 +376,16 @@ def compare_hot(suffixes: DataFrame, length: int) -> DataFrame:
     kinds = known.where(whole).groupBy("lead", "around").agg(
         F.min(F.struct("after", "before", "doc_id", "digest", "place")).alias("one"), F.count("*").alias("times")
     )
-    many = kinds.where("times > 1").select(F.col("lead").alias("of_lead"), F.col("around").alias("of_around"))
-    settled = known.where(whole).join(many, (F.col("lead") == F.col("of_lead")) & (F.col("around") == F.col("of_around")), "left_semi")
+    kinds = stored(kinds, "repeats-kinds")
+    settled = repeated(known.where(whole), ["lead", "around"], kinds.where("times > 1").select("lead", "around", "times"))
     settled = settled.select("doc_id", "digest", (F.col("place") - reach).alias("place"), (F.col("place") + length).alias("end"))
     single = kinds.select("lead", "one.*").unionByName(known.where(~whole).drop("around", "n"))
     strings = single.select("lead", "after", "before", "doc_id", "digest", "place").mapInArrow(
         run, f"doc_id {kind}, digest bigint, place bigint, o bigint, string bigint"
     )
-    counted = strings.groupBy("o", "string").agg(F.count("*").alias("times")).where("times > 1")
-    hit = strings.join(counted.select(F.col("o").alias("of_o"), F.col("string").alias("of_string")), (F.col("o") == F.col("of_o")) & (F.col("string") == F.col("of_string")))
+    strings = stored(strings, "repeats-strings")
+    counted = stored(strings.groupBy("o", "string").agg(F.count("*").alias("times")).where("times > 1"), "repeats-counted")
+    hit = repeated(strings, ["o", "string"], counted)
     open_ = hit.groupBy("doc_id", "digest", F.col("place").alias("at")).agg(F.max("o").alias("most"), F.min("o").alias("least"))
     open_ = open_.select("doc_id", "digest", (F.col("at") - F.col("most")).alias("place"), (F.col("at") - F.col("least") + length).alias("end"))
     return settled.unionByName(open_)
@@ -377,8 +397,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     texts = base(docs, doc_id, text).where(F.octet_length("text") >= length)
     small_batches(spark, 500)
     anchors_ = stored(find_anchors(texts, length), "repeats-anchors")
-    often = F.count("*").over(W.partitionBy("h"))
-    places = anchors_.where("h IS NOT NULL").withColumn("n", often).where("n > 1").select("doc_id", "digest", "place", "n")
+    found = anchors_.where("h IS NOT NULL")
+    often = stored(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"), "repeats-often")
+    places = repeated(found, ["h"], often).select("doc_id", "digest", "place", F.col("times").alias("n"))
     suffixes = stored(surroundings(texts, places, length), "repeats-suffixes")
     small_batches(spark, 4000)
     buckets = shuffle_partitions(spark)
@@ -395,8 +416,9 @@ def copies(docs: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
     """(doc_id, digest, n_bytes, sha, copied) of every row."""
     rows = base(docs, doc_id, text).select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     rows = stored(rows, "repeats-rows")
-    twice = rows.where(F.col("n_bytes") >= length).groupBy(F.col("sha").alias("of")).agg(F.count("*").alias("times")).where("times > 1")
-    return rows.join(twice.select("of"), F.col("sha") == F.col("of"), "left").withColumn("copied", F.col("of").isNotNull()).drop("of")
+    twice = rows.where(F.col("n_bytes") >= length).groupBy("sha").agg(F.count("*").alias("times")).where("times > 1")
+    marked = repeated(rows, ["sha"], stored(twice, "repeats-copies"), once=True)
+    return marked.withColumn("copied", F.col("times").isNotNull()).drop("times")
 
 
 def cut(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", hot: int = HOT, with_text: bool = False) -> DataFrame:
@@ -408,8 +430,8 @@ def cut(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str
     kind = docs.schema[doc_id].dataType.simpleString()
     texts = base(docs, doc_id, text)
     own = spans.select(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"), "spans")
-    few = only_with(texts, own, F.col("digest"), F.col("of_digest")).dropDuplicates(["doc_id", "digest"])
-    joined = few.join(own, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")))
+    some = only_with(texts, own, F.col("digest"), F.col("of_digest")).dropDuplicates(["doc_id", "digest"])
+    joined = some.join(own, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")))
     joined = joined.select("doc_id", "text", "digest", "spans.place", "spans.end")
 
     def run(batches: Iterator):
@@ -462,7 +484,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id
     rows = docs.withColumn("__digest", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     same = F.col(doc_id).eqNullSafe(F.col("__of")) & (F.col("__digest") == F.col("__of_digest"))
     keys = found.select("__of", "__of_digest")
-    keys = F.broadcast(keys) if found.count() <= FEW else keys
+    keys = F.broadcast(keys) if few(keys) else keys
     unchanged = rows.join(keys, same, "left_anti")
     changed = rows.drop(text).join(keys, same, "left_semi").join(found, same).withColumn(text, F.col("__kept"))
     if n_chars in docs.columns:
