@@ -39,12 +39,12 @@ LINE = "struct<{top}, object: struct<{body}>>".format(
 )
 
 
-def normalize(lines: DataFrame, dialect: str = "daily", text: str = "value") -> DataFrame:
+def normalize(lines: DataFrame, dialect: str = "daily", text: str = "value", unit: bool = True) -> DataFrame:
     """Add ``document`` (the typed struct) and ``reason`` (NULL for a good line) to each line.
 
     ``daily`` reads plain JSON; ``extended`` also unwraps ``$numberInt``, ``$numberLong`` and
     ``$date`` and skips blank lines. All of it is built-in column expressions: one parse of the
-    line, one projection per step, no shuffle.
+    line, one projection per step, no shuffle. A result that is written as it is needs no ``unit``.
     """
     if dialect not in DIALECTS:
         raise ValueError(f"dialect must be one of {DIALECTS}")
@@ -76,10 +76,12 @@ def normalize(lines: DataFrame, dialect: str = "daily", text: str = "value") ->
     reason = F.coalesce(
         F.when(F.col("_bad"), bad), *[F.when(wrong, F.lit(why)) for why, wrong in checks.items()]
     )
+    result = _document().alias("document"), reason.alias("reason")
+    if not unit:
+        return typed.select(*kept, *result)
     # As the one item of an array the result stays a unit: a filter on the reason would otherwise be
     # moved below the projections and everything above computed twice.
-    result = F.struct(_document().alias("document"), reason.alias("reason"))
-    return typed.select(*kept, F.inline(F.array(result)))
+    return typed.select(*kept, F.inline(F.array(F.struct(*result))))
 
 
 def _shared(fields: dict[str, c.Loose]) -> dict[str, Column]:

@@ -101,13 +101,14 @@ def write_sorted(df: DataFrame, path: str, name: str, by_month: bool = False):
 
     Rows of a table with parts go to one folder for each. They are rebalanced by part first, so a part is a few
     well-filled files; AQE cuts one that is too large for one task. Days are dealt by ranges of time instead,
-    so that the files of a large day follow each other in time. ``by_month`` gives folders of months to a batch that
-    has rows of very many days, which would be as many small files.
+    so that the files of a large day follow each other in time; the ranges are sampled, so ``df`` is computed twice up
+    to its last shuffle. ``by_month`` gives folders of months to a batch that has rows of very many days, which would
+    be as many small files; months are rebalanced, and sorted by time inside a file.
     """
     kind, sort_key = PARTS.get(name, (None, None))[0], SORT_KEYS.get(name, ())
     if kind:
         df = df.withColumn(kind, part_of(name, by_month))
-        df = df.repartitionByRange(*sort_key) if kind == "day" else df.hint("rebalance", F.col(kind))
+        df = df.repartitionByRange(*sort_key) if kind == "day" and not by_month else df.hint("rebalance", F.col(kind))
         sort_key = (kind, *sort_key)
     if sort_key:
         df = df.sortWithinPartitions(*sort_key)
