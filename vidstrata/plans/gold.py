@@ -6,11 +6,28 @@ from pyspark.sql import DataFrame
 
 from vidstrata.operators.reports import REPORTS, growth_raw_counts
 from vidstrata.plans.tables import Tables
-from vidstrata.session import size_shuffles
+from vidstrata.session import remove_folder, size_shuffles
 
 
 NAMES = tuple(f"gold_{name}" for name in REPORTS)
 
+# What the six reports read of silver.
+EVENT_COLUMNS = (
+    "video_id",
+    "video_tags",
+    "video_visit_count",
+    "video_like_count",
+    "video_created_at",
+    "channel_username",
+    "channel_total_video_visit",
+    "channel_video_count",
+    "channel_start_date_timestamp",
+    "channel_followers_count",
+    "channel_country",
+    "channel_created_at",
+    "channel_update_count",
+)
+
 
 def states(events: DataFrame, as_of=None) -> dict[str, DataFrame]:
     """The rows of all six tables for the given silver rows."""
@@ -28,9 +45,15 @@ def refresh_append(tables: Tables, new_events: DataFrame, batch: str, as_of=None
     """Add the states of silver rows that gold has not seen yet.
 
     Feeding the same rows again under another batch name would count them twice; under the same
-    name it changes nothing, before or after the tables were compacted.
+    name it changes nothing, before or after the tables were compacted. The rows may come from a join, so they are
+    written once and read for each of the six tables; what was written goes when the batch is committed.
     """
-    tables.append_all(states(new_events, as_of), batch)
+    if all(tables.holds(name, batch) for name in NAMES):
+        return
+    staging = f"{tables.root}/staging/gold/batch={batch}"
+    new_events.select(*EVENT_COLUMNS).write.mode("overwrite").parquet(staging)
+    tables.append_all(states(tables.spark.read.parquet(staging), as_of), batch)
+    remove_folder(tables.spark, staging)
 
 
 def compact(tables: Tables, names: tuple[str, ...] = tuple(REPORTS)) -> None:
