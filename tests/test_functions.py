@@ -1,7 +1,10 @@
 import datetime as dt
+import itertools
+import json
 
 from pyspark.sql import functions as F
 
+from vidstrata.functions import coerce as c
 from vidstrata.functions import datetimes as d
 from vidstrata.session import work_dir
 from vidstrata.sources import files
@@ -112,3 +115,29 @@ def test_work_dir_is_under_the_shared_folder(spark):
     folder = work_dir(spark, "x")
     assert shared is None or folder.startswith(shared)
     assert folder != work_dir(spark, "x")
+
+
+def test_plain_text_undoes_every_escape(spark):
+    pieces = ["\\", '"', "n", "\n", "\x01", "u0041", " - ", "é"]
+    texts = ["", *map("".join, itertools.product(pieces, repeat=3))]
+    written = [json.dumps(text, ensure_ascii=False) for text in texts]
+    assert values(spark, written, c.plain_text(F.col("v"))) == texts
+    others = ["1.50", "true", "null", '{"a":"\\"b"}', "[]", None]
+    assert values(spark, others, c.plain_text(F.col("v"))) == others
+
+
+def test_parts_of_a_comment_are_counted_without_a_pattern(spark):
+    texts = ["one", " - ", "a - b", "a - - b", "a -  - b", "a - b - c - ", '"q" - \\', "\t-\t"]
+    written = [json.dumps(text) for text in texts]
+    parts = c.Loose(F.col("v")).parts()
+    assert values(spark, written, parts) == [len(text.split(" - ")) for text in texts]
+    assert values(spark, ['""', "null", None, "5", "[]"], parts) == [0, 0, 0, None, None]
+    plan = spark.createDataFrame([("x",)], "v string").select(parts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
+
+
+def test_paths_are_decoded_where_they_hold_percent_signs(spark):
+    paths = {"file:/a/b+c/d.json": "file:/a/b+c/d.json", "file:/a%20b+c/%25.json": "file:/a b+c/%.json", None: None}
+    assert values(spark, list(paths), files.decoded(F.col("v"))) == list(paths.values())
+    plan = spark.createDataFrame([("x",)], "v string").select(files.decoded(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN Contains" in plan

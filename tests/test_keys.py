@@ -24,6 +24,17 @@ def test_first_by_key_reduces_before_the_shuffle(spark):
     assert "partial_min_by" in plan and "Window" not in plan
 
 
+def test_first_by_key_carries_what_is_kept_only(spark):
+    rows = [(i % 20, i // 7, f"v{i}", f"path {i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, seq int, v string, path string").repartition(7)
+    kept = first_by_key(df, ["k"], ["seq", "path"], keep=["v"])
+    assert kept.columns == ["k", "v"]
+    whole = first_by_key(df, ["k"], ["seq", "path"]).select("k", "v")
+    assert sorted(kept.collect()) == sorted(whole.collect())
+    partial = next(line for line in kept._jdf.queryExecution().optimizedPlan().toString().splitlines() if "min_by" in line)
+    assert partial.count("path#") == 1  # in the order, not in the row as well
+
+
 def test_unseen(spark):
     source = spark.createDataFrame([(i, "s") for i in range(10)], "k int, v string")
     target = spark.createDataFrame([(i,) for i in range(5, 1000)], "k int")

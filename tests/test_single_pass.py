@@ -81,3 +81,13 @@ def test_text_of_accepted_lines_is_not_staged(spark, tables, tmp_path, monkeypat
     staged = spark.read.parquet(f"{tables.root}/staging/documents/batch=one")
     assert staged.where("reason IS NULL AND value IS NOT NULL").isEmpty()
     assert [r["raw"] for r in tables.read("rejects").collect()] == ["{"]
+
+
+def test_first_lines_do_not_carry_where_they_stood(spark, tables, tmp_path, monkeypatch):
+    lines = ['{"_id":"a","object":{"id":1,"title":"x \\\\ \\"y\\""}}', '{"_id":"a","object":{"id":2}}', '{"_id":"b","object":{"id":3}}']
+    (tmp_path / "one.json").write_text("\n".join(lines) + "\n")
+    unseen, given = daily_run.unseen, []
+    monkeypatch.setattr(daily_run, "unseen", lambda source, *rest: given.append(source.columns) or unseen(source, *rest))
+    daily_run.append_documents(tables, json_lines.read_lines(spark, str(tmp_path)), "one", "daily")
+    assert given == [["_id", "object", "created_at", "expire_at", "update_count"]]
+    assert sorted(tables.read("documents").select("_id", "object.id", "object.title").collect()) == [("a", "1", 'x \\ "y"'), ("b", "3", "")]

@@ -13,8 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 END = "end of line"
-# What separates comments, and digits as text may hold them.
+# What separates comments, what stands for a backslash, and digits as text may hold them.
 SEPARATOR = " - "
+ASIDE = "\x01"
 QUOTED_DIGITS = r'^"\s*[+-]?\d+\s*"$'
 OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
@@ -42,10 +43,19 @@ def has_field(text: Column, name: str) -> Column:
 
 
 def plain_text(json: Column) -> Column:
-    """A JSON value as text: strings without quotes and escapes, all else as written."""
+    """A JSON value as text: strings without quotes and escapes, all else as written.
+
+    Escaped quotes and backslashes are replaced; a parser, which costs much more, reads strings with other escapes only.
+    """
     unescaped = F.get_json_object(F.concat(F.lit('{"t":'), json, F.lit("}")), "$.t")
     inner = F.substring(json, F.lit(2), F.length(json) - 2)
-    string = F.when(json.contains("\\"), unescaped).otherwise(inner)
+    # backslashes are set aside first, as a character that JSON strings never hold as it is
+    plain = F.replace(F.replace(inner, F.lit("\\\\"), F.lit(ASIDE)), F.lit('\\"'), F.lit('"'))
+    string = (
+        F.when(~json.contains("\\"), inner)
+        .when(plain.contains("\\"), unescaped)
+        .otherwise(F.replace(plain, F.lit(ASIDE), F.lit("\\")))
+    )
     return F.when(json.startswith('"'), string).otherwise(json)
 
 
@@ -131,9 +141,12 @@ class Loose:
         return F.when(self.empty, F.lit(0).cast("bigint")).when(~self.is_text, self.number)
 
     def parts(self) -> Column:
-        """Number of parts of a text, 0 for empty text and null; NULL for any other value."""
+        """Number of parts of a text, 0 for empty text and null; NULL for any other value.
+
+        Escapes neither hold nor make a separator, so it is counted in the JSON text.
+        """
         none = self.absent | self.null | (self.json == '""')
-        return F.when(none, F.lit(0)).when(self.is_text, F.size(F.split(self.text, SEPARATOR)))
+        return F.when(none, F.lit(0)).when(self.is_text, separators(self.json) + 1)
 
 
 def json_empty(json: Column) -> Column:
@@ -141,6 +154,11 @@ def json_empty(json: Column) -> Column:
     return json.isin("null", "false", '""', "[]", "{}", "0", "-0", "0.0", "-0.0")
 
 
+def separators(text: Column) -> Column:
+    """How often the separator is in a text; a split by it would compile a pattern for each row."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(SEPARATOR), F.lit("")))) / len(SEPARATOR)).cast("int")
+
+
 def part_count(text: Column, separator: str = SEPARATOR) -> Column:
     """Number of separated parts; 0 for NULL and for empty text."""
     return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(

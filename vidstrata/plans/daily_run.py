@@ -66,7 +66,7 @@ def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str)
     staged = tables.spark.read.parquet(staging)
     bad = n.rejected(staged)
     good = n.accepted(staged, *json_lines.LINE_ORDER)
-    firsts = first_by_key(good, ["_id"], list(json_lines.LINE_ORDER))
+    firsts = first_by_key(good, ["_id"], list(json_lines.LINE_ORDER), keep=n.accepted(staged).columns)
     # a row for each bucket and day first, which is a hash aggregate of fixed width
     seen = good.select(bucket_of("_id").cast("int").alias("bucket"), F.to_date("created_at").alias("day")).distinct()
     buckets = F.collect_set(F.col("bucket").cast("string"))  # BUCKETS at most
@@ -76,7 +76,7 @@ def append_documents(tables: Tables, lines: DataFrame, batch: str, dialect: str)
     held = tables.holds("rejects", noted)  # by a run that was cut off between the two commits
     rejected = tables.read_batch("rejects", noted).count() if held else tables.append("rejects", bad, noted)
     stored = tables.append_all(
-        {"documents": new.drop(*json_lines.LINE_ORDER)},
+        {"documents": new},
         batch,
         then=lambda written: {"document_keys": written["documents"].select("_id")},
         derived=("document_keys",),

@@ -32,8 +32,11 @@ def origin_path() -> Column:
 
 
 def decoded(path: Column) -> Column:
-    """A path as files have it, from one with percent signs; a plus sign is not encoded in those."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """A path as files have it, from one with percent signs; a plus sign is not encoded in those.
+
+    It is asked for once a line, so a path without percent signs is taken as it is.
+    """
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
